@@ -74,13 +74,14 @@ def _literal(text: str) -> str:
     return "".join(ch if ch.isalnum() or ch == " " else "\\" + ch for ch in text)
 
 
-def _first_in(heads: Sequence[str], ranges: int = 4) -> str:
-    """Look-ahead for a character near the heads: a few code-point ranges that cover them all."""
-    points = sorted(map(ord, heads))
+def _first_in(heads: Sequence[str], ranges: int = 3) -> str:
+    """Look-ahead for one of the heads: Latin ones exactly, the others by a few ranges that cover them."""
+    latin = "".join(_literal(h) for h in heads if ord(h) < 256)
+    points = sorted(ord(h) for h in heads if ord(h) >= 256)
     widest = sorted(range(1, len(points)), key=lambda i: points[i - 1] - points[i])[: ranges - 1]
-    edges = [0, *sorted(widest), len(points)]
+    edges = sorted({0, *widest, len(points)})
     spans = [(points[a], points[b - 1]) for a, b in zip(edges, edges[1:])]
-    return "(?=[" + "".join(f"{_literal(chr(a))}-{_literal(chr(b))}" for a, b in spans) + "])"
+    return "(?=[" + latin + "".join(f"{_literal(chr(a))}-{_literal(chr(b))}" for a, b in spans) + "])"
 
 
 def any_term_pattern(terms: Sequence[str], group: int = 9) -> str:

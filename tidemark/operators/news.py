@@ -60,10 +60,8 @@ def keyword_semi_join(
         hits = text.join(F.broadcast(terms), F.contains("_content", "_term"), "left_semi")
     else:
         block = F.pmod(F.xxhash64("_term"), F.lit(blocks))
-        tests = [
-            terms.where(block == i).where(F.contains(F.col("_content").outer(), F.col("_term"))).exists()
-            for i in range(blocks)
-        ]
+        in_text = F.contains(F.col("_content").outer(), F.col("_term"))
+        tests = [F.broadcast(terms.where(block == i).where(in_text)).exists() for i in range(blocks)]
         hits = text.where(reduce(lambda a, b: a | b, tests))
     return hits.drop("_content")
 

@@ -26,7 +26,8 @@ def full_refresh(
 ) -> None:
     """Computes all shares and replaces the table directory."""
     shares = stamp(ops.normalise(labelled(trend), brands, "keep"), run_ts)
-    in_order = shares.sortWithinPartitions(*SHARE_KEYS)
+    # A day has at most brands x genders x age groups rows, so one task and file per day is plenty.
+    in_order = shares.repartition("period").sortWithinPartitions(*SHARE_KEYS)
     in_order.write.mode("overwrite").partitionBy("period").parquet(path)
 
 

@@ -64,17 +64,37 @@ def publish_snapshot(
         files.write.mode("overwrite").parquet(f"{target_root}/{relative}/data.parquet")
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back: computed once, with a known size."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _touched(spark: SparkSession, path: str, source: DataFrame, by: str) -> DataFrame:
-    """The target's partitions the source has rows for; the others are never read."""
-    return spark.read.parquet(path).join(source.select(by).distinct(), by, "left_semi")
+    """The target's partitions the source has rows for; the others are never listed or read.
+
+    The driver holds one value per touched partition, as it does for any partitioned read.
+    """
+    values = [row[0] for row in source.select(by).distinct().collect()]
+    return spark.read.parquet(path).where(F.col(by).isin(values))
 
 
 def append_new(
-    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], by: str = "period"
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    by: str = "period",
+    order_by: Sequence[str] = (),
 ) -> None:
-    """Insert-if-absent into a directory partitioned by ``by``: only new rows are written."""
-    target = _touched(spark, path, source, by)
-    write_partitioned(new_rows(target, source, keys), path, [by], mode="append")
+    """Insert-if-absent into a directory partitioned by ``by``: only new rows are written.
+
+    A run that is repeated after a failure finds what it already wrote.
+    """
+    rows = staged(source, "append")
+    fresh = new_rows(_touched(spark, path, rows, by), rows, keys, order_by)
+    write_partitioned(fresh.repartition(by), path, [by], mode="append")
 
 
 def upsert_partitions(
@@ -90,10 +110,9 @@ def upsert_partitions(
     Only touched partitions are rebuilt. They are completed in a folder of their own
     first, so no partition is overwritten while it is being read.
     """
-    staged = fresh_dir(spark, "upsert")
-    merged = upsert_by_key(_touched(spark, path, source, by), source, keys, order_by)
-    merged.write.parquet(staged)
-    write_partitioned(spark.read.schema(merged.schema).parquet(staged), path, [by])
+    rows = staged(source, "upsert-source")
+    merged = staged(upsert_by_key(_touched(spark, path, rows, by), rows, keys, order_by), "upsert")
+    write_partitioned(merged, path, [by])
 
 
 def write_by_day(df: DataFrame, path: str, run_date: date | None = None, by: str = "ingest_date") -> None:

@@ -20,6 +20,12 @@ def _count(text: Column) -> Column:
     return F.coalesce(text.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def _first_item(responses: DataFrame, key: str, name: str, schema: str, json: str) -> DataFrame:
+    """The first item of each response. Exploding parses a text once; a filter would parse it again."""
+    first = F.slice(F.from_json(json, schema)["items"], 1, 1)
+    return responses.select(F.col(key).alias(name), F.explode(first).alias("item"))
+
+
 def flatten_trend(responses: DataFrame, json: str = "response") -> DataFrame:
     """(…request columns…, period, brand, ratio), one row per brand and day."""
     request = [c for c in responses.columns if c != json]
@@ -37,9 +43,7 @@ def flatten_trend(responses: DataFrame, json: str = "response") -> DataFrame:
 
 def flatten_videos(responses: DataFrame, video_id: str = "video_id", json: str = "response") -> DataFrame:
     """One row per found video; a response without items gives no row."""
-    item = F.try_element_at(F.from_json(json, VIDEO_RESPONSE)["items"], F.lit(1))
-    parsed = responses.select(F.col(video_id).alias("video_id"), item.alias("item"))
-    return parsed.where(F.col("item").isNotNull()).select(
+    return _first_item(responses, video_id, "video_id", VIDEO_RESPONSE, json).select(
         "video_id",
         F.col("item.snippet.title").alias("title"),
         F.col("item.snippet.description").alias("description"),
@@ -54,9 +58,7 @@ def flatten_videos(responses: DataFrame, video_id: str = "video_id", json: str =
 
 
 def flatten_channels(responses: DataFrame, channel_id: str = "channel_id", json: str = "response") -> DataFrame:
-    item = F.try_element_at(F.from_json(json, CHANNEL_RESPONSE)["items"], F.lit(1))
-    parsed = responses.select(F.col(channel_id).alias("channel_id"), item.alias("item"))
-    return parsed.where(F.col("item").isNotNull()).select(
+    return _first_item(responses, channel_id, "channel_id", CHANNEL_RESPONSE, json).select(
         "channel_id",
         F.col("item.snippet.title").alias("channel_title"),
         _count(F.col("item.statistics.subscriberCount")).alias("subscriber_count"),
