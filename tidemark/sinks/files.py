@@ -77,7 +77,7 @@ def _touched(spark: SparkSession, path: str, source: DataFrame, by: str) -> Data
     The driver holds one value per touched partition, as it does for any partitioned read.
     """
     values = [row[0] for row in source.select(by).distinct().collect()]
-    return spark.read.parquet(path).where(F.col(by).isin(values))
+    return spark.read.schema(source.schema).parquet(path).where(F.col(by).isin(values))
 
 
 def append_new(
