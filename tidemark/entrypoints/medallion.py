@@ -98,7 +98,7 @@ def feature_partition_scan(spark, sf):
     path = fresh_dir(spark, "features")
     videos = features.video_features(b.videos(spark, sf)).drop("tags")
     by_year = videos.withColumn("feature_date", F.trunc(F.to_date("published_at"), "year"))
-    files.write_partitioned(by_year, path)
+    files.write_partitioned(by_year, path, gather=True)
     return snapshots.read_feature_day(spark, path, date(1998, 1, 1))
 
 

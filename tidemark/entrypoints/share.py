@@ -139,7 +139,14 @@ UPSERTED = f"""(
 SELECT {KEYS}, ratio FROM {LOADED_SHARES} t WHERE NOT EXISTS (SELECT 1 FROM {LATER_SHARES} s WHERE {SAME_KEY})
 UNION ALL SELECT {KEYS}, ratio + 2.0 FROM {LATER_SHARES} s)"""
 
+def inline_dims(spark, sf):
+    """The age-code relation with the trend rows of each code."""
+    observed = b.trend(spark, sf).groupBy("age_code").agg(F.count(F.lit(1)).alias("trend_rows"))
+    return observed.join(F.broadcast(ops.age_dim(spark)), "age_code")
+
+
 QUERIES = {
+    "inline_dims": inline_dims,
     "trend_json_flatten": trend_json_flatten,
     "age_group_map": lambda s, d: ops.map_age_groups(b.trend(s, d)).withColumn("ratio", F.col("ratio").cast("double")),
     "share_union_cells": lambda s, d: share_union_cells(s, d).withColumn("ratio", F.col("ratio").cast("double")),
@@ -160,6 +167,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "inline_dims": f"""SELECT age_code, count(*) AS trend_rows, {b.AGE_SQL} AS age_group
+FROM {b.sql(b.TREND)} t WHERE age_code <> '1' GROUP BY age_code""",
     "trend_json_flatten": f"SELECT gender_code, age_code, period, brand, ratio::DOUBLE AS ratio FROM {b.sql(b.TREND)} t",
     "age_group_map": f"""SELECT period, gender_code, brand, ratio::DOUBLE AS ratio, {b.AGE_SQL} AS age_group
 FROM {b.sql(b.TREND)} t WHERE age_code <> '1'""",

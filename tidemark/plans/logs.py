@@ -18,4 +18,4 @@ def log_records(lines: DataFrame, run_date: date, block: Column | None = None, *
 
 def write_records(records: DataFrame, path: str) -> None:
     """One partition per log day; a repeated run replaces the days it covers."""
-    write_partitioned(records, path, ["log_date"])
+    write_partitioned(records, path, ["log_date"], gather=True)

@@ -12,7 +12,7 @@ from tidemark.fixed_values import AGE_GROUP_CODES, BRAND_GROUPS
 from tidemark.operators import share as ops
 from tidemark.operators.merge import stamp
 from tidemark.schemas import SHARE, SHARE_KEYS
-from tidemark.sinks.files import append_new, dual_export, upsert_partitions, write_partitioned
+from tidemark.sinks.files import append_new, dual_export, gathered, upsert_partitions, write_partitioned
 from tidemark.sources.relational import ordered_share
 
 
@@ -26,8 +26,7 @@ def full_refresh(
 ) -> None:
     """Computes all shares and replaces the table directory."""
     shares = stamp(ops.normalise(labelled(trend), brands, "keep"), run_ts)
-    # A day has at most brands x genders x age groups rows, so one task and file per day is plenty.
-    in_order = shares.repartition("period").sortWithinPartitions(*SHARE_KEYS)
+    in_order = gathered(shares, ["period"]).sortWithinPartitions(*SHARE_KEYS)
     in_order.write.mode("overwrite").partitionBy("period").parquet(path)
 
 

@@ -13,14 +13,30 @@ from tidemark.schemas import RAW
 from tidemark.workdir import fresh_dir
 
 
+def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of a partition brought together, so that not every task writes a file into every directory.
+
+    Unlike a plain repartition, large partitions are split and small ones share a task.
+    """
+    return df.hint("rebalance", *[F.col(name) for name in by])
+
+
 def write_partitioned(
-    df: DataFrame, path: str, by: Sequence[str] = ("feature_date",), mode: str = "replace", fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    by: Sequence[str] = ("feature_date",),
+    mode: str = "replace",
+    fmt: str = "parquet",
+    gather: bool = False,
 ) -> None:
     """Partitioned directory.
 
     ``replace`` swaps exactly the partitions present in ``df``, so a repeated run
-    changes nothing; ``append`` adds files.
+    changes nothing; ``append`` adds files. ``gather`` is for rows that are spread
+    over many directories; rows of one day need it not.
     """
+    if gather:
+        df = gathered(df, by)
     writer = df.write.format(fmt).partitionBy(*by)
     if mode == "append":
         writer.mode("append").save(path)
@@ -94,7 +110,7 @@ def append_new(
     """
     rows = staged(source, "append")
     fresh = new_rows(_touched(spark, path, rows, by), rows, keys, order_by)
-    write_partitioned(fresh.repartition(by), path, [by], mode="append")
+    write_partitioned(fresh, path, [by], mode="append", gather=True)
 
 
 def upsert_partitions(
@@ -112,7 +128,7 @@ def upsert_partitions(
     """
     rows = staged(source, "upsert-source")
     merged = staged(upsert_by_key(_touched(spark, path, rows, by), rows, keys, order_by), "upsert")
-    write_partitioned(merged, path, [by])
+    write_partitioned(merged, path, [by], gather=True)
 
 
 def write_by_day(df: DataFrame, path: str, run_date: date | None = None, by: str = "ingest_date") -> None:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.merge import merge_statement
+
 # Formats whose catalogs can replace a table in one commit.
 REPLACING_FORMATS = {"iceberg", "delta"}
 
@@ -38,6 +40,13 @@ def replace_table(df: DataFrame, name: str, fmt: str = "parquet", location: str
     spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{version}'")
 
 
+def merge_table(source: DataFrame, name: str, keys: Sequence[str], update: bool = True) -> None:
+    """Upsert (or insert-if-absent) into a table whose format has ``MERGE``."""
+    view = f"merge_source_{uuid.uuid4().hex}"
+    source.createOrReplaceTempView(view)
+    source.sparkSession.sql(merge_statement(name, view, keys, update))
+
+
 def create_share_table(spark: SparkSession, name: str, fmt: str = "parquet", location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(

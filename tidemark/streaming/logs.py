@@ -47,7 +47,9 @@ def batch_writer(
             "message", "service", "log_type", "log_timestamp", "file", "line", "log_level", "task_status", "dag_id",
             "task_id", "execution_date", "start_date", "end_date", "exception_trace", "parse_ok", "log_date",
         )
-        write_partitioned(records.withColumn("batch_id", F.lit(batch_id)), path, ["batch_id", "log_date"])
+        write_partitioned(
+            records.withColumn("batch_id", F.lit(batch_id)), path, ["batch_id", "log_date"], gather=True
+        )
 
     return write
 
