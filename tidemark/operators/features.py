@@ -11,7 +11,7 @@ from tidemark.fixed_values import SENTIMENT_PATTERN, STANDARD_RECORD
 from tidemark.functions import columns as c
 from tidemark.operators.skew import left_join
 
-# The contract of the training table, in order.
+# Columns of the training table, in order.
 FEATURE_COLUMNS = [
     "view_count",
     "like_count_video",
@@ -25,6 +25,7 @@ FEATURE_COLUMNS = [
     "channel_tier",
 ]
 
+# Names that both sides have, and what the training table calls them.
 CHANNEL_RENAMES = {
     "channel_title": "channel_title_channel",
     "crawled_date": "crawled_date_channel",

@@ -87,12 +87,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _touched(spark: SparkSession, path: str, source: DataFrame, by: str) -> DataFrame:
-    """The target's partitions the source has rows for; the others are never listed or read.
+def _touched(spark: SparkSession, path: str, source: DataFrame, by: str) -> DataFrame | None:
+    """The target's partitions the source has rows for, or None when it has no rows; the others are never read.
 
     The driver holds one value per touched partition, as it does for any partitioned read.
     """
     values = [row[0] for row in source.select(by).distinct().collect()]
+    if not values:
+        return None
     return spark.read.schema(source.schema).parquet(path).where(F.col(by).isin(values))
 
 
@@ -109,8 +111,9 @@ def append_new(
     A run that is repeated after a failure finds what it already wrote.
     """
     rows = staged(source, "append")
-    fresh = new_rows(_touched(spark, path, rows, by), rows, keys, order_by)
-    write_partitioned(fresh, path, [by], mode="append", gather=True)
+    target = _touched(spark, path, rows, by)
+    if target is not None:
+        write_partitioned(new_rows(target, rows, keys, order_by), path, [by], mode="append", gather=True)
 
 
 def upsert_partitions(
@@ -127,8 +130,10 @@ def upsert_partitions(
     first, so no partition is overwritten while it is being read.
     """
     rows = staged(source, "upsert-source")
-    merged = staged(upsert_by_key(_touched(spark, path, rows, by), rows, keys, order_by), "upsert")
-    write_partitioned(merged, path, [by], gather=True)
+    target = _touched(spark, path, rows, by)
+    if target is not None:
+        merged = staged(upsert_by_key(target, rows, keys, order_by), "upsert")
+        write_partitioned(merged, path, [by], gather=True)
 
 
 def write_by_day(df: DataFrame, path: str, run_date: date | None = None, by: str = "ingest_date") -> None:
