@@ -1,3 +1,6 @@
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from tidemark.operators import merge
 from tidemark.sinks import files
 
@@ -25,6 +28,24 @@ def test_upsert_takes_the_last_row_and_is_idempotent(spark, rows):
     assert rows(merge.upsert_by_key(once, source, ["k"], ["n"])) == rows(once)
 
 
+records = st.lists(st.tuples(st.sampled_from("abcd"), st.integers(0, 3), st.integers(0, 3)), max_size=8)
+
+
+@settings(max_examples=10, deadline=None)
+@given(records, records)
+def test_merges_agree_with_a_dictionary(spark, target, source):
+    target = list({k: (k, v, n) for k, v, n in target}.values())
+    old = {k: (v, n) for k, v, n in target}
+    by_order = sorted(source, key=lambda r: (r[0], r[2], r[1]))
+    first = {k: (v, n) for k, v, n in reversed(by_order)}
+    last = {k: (v, n) for k, v, n in by_order}
+    left, right = spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA)
+    got = {r.k: (r.v, r.n) for r in merge.insert_ignore(left, right, ["k"], ["n"]).collect()}
+    assert got == {**first, **old}
+    got = {r.k: (r.v, r.n) for r in merge.upsert_by_key(left, right, ["k"], ["n"]).collect()}
+    assert got == {**old, **last}
+
+
 def test_empty_sides(spark, rows):
     some, none = frame(spark, ("a", 1, 1)), frame(spark)
     assert rows(merge.insert_ignore(none, some, ["k"])) == rows(merge.upsert_by_key(some, none, ["k"])) == [("a", 1, 1)]

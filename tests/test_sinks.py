@@ -118,3 +118,4 @@ def test_medallion(spark, tmp_path, rows):
     assert snapshots.read_header_csv(spark, str(tmp_path / "standard")).first().channel_tier == "gold"
     for layer in ("bronze", "silver"):
         tables.drop_namespace(spark, f"{folder}_{layer}")
+        assert not (tmp_path / "lake" / f"{folder}_{layer}").exists()
