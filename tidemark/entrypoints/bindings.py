@@ -6,7 +6,6 @@ from datetime import date
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 RUN_DATE = date(2024, 2, 1)
 FOLDER = "media_video_search_daily"
@@ -139,11 +138,6 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bind(spark, sf_dir, LOGS)
 
 
-def repeated(df: DataFrame) -> DataFrame:
-    """Every row twice, so that duplicate removal has work to do."""
-    return df.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-
-
 # --- the cleaned entities as SQL, shared by the checks ---
 
 D = "DATE '2024-02-01'"

@@ -19,15 +19,15 @@ LINE_NULLS = ["l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 def _bronze_channels(spark, sf):
-    return cleaning.bronze_channels(b.repeated(b.channels(spark, sf)), b.RUN_DATE)
+    return cleaning.bronze_channels(b.channels(spark, sf), b.RUN_DATE)
 
 
 def _bronze_videos(spark, sf):
-    return cleaning.bronze_videos(b.repeated(b.videos(spark, sf)), b.RUN_DATE)
+    return cleaning.bronze_videos(b.videos(spark, sf), b.RUN_DATE)
 
 
 def _bronze_comments(spark, sf):
-    return cleaning.bronze_comments(b.repeated(b.comments(spark, sf)), b.RUN_DATE)
+    return cleaning.bronze_comments(b.comments(spark, sf), b.RUN_DATE)
 
 
 def _lines_with_nulls(spark, sf):

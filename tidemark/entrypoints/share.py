@@ -102,10 +102,12 @@ def ordered_share_scan(spark, sf):
 
 
 def share_dump(spark, sf):
-    """The stored table as an ordered dump in both formats."""
+    """The stored table as an ordered dump in both formats, the Parquet one published."""
     root = fresh_dir(spark, "dump")
     plans.dump_share(spark, _loaded_table(spark, sf), f"{root}/parquet", f"{root}/csv")
-    parquet = spark.read.parquet(f"{root}/parquet").drop("updated_at").withColumn("fmt", F.lit("parquet"))
+    name = snapshots.dump_name("Media", "Trend", "Search", "Daily", b.RUN_DATE)
+    published = plans.publish_dump(spark, f"{root}/parquet", root, name)
+    parquet = spark.read.parquet(published).drop("updated_at").withColumn("fmt", F.lit("parquet"))
     csv = snapshots.read_header_csv(spark, f"{root}/csv", plans.SHARE).drop("updated_at")
     return parquet.unionByName(csv.withColumn("fmt", F.lit("csv")))
 

@@ -94,13 +94,16 @@ def drop_noise(events: DataFrame, pattern: str = NOISE_PATTERN) -> DataFrame:
     return events.where((message != "") & ~message.rlike(pattern))
 
 
-def _fields(message: Column, text: str, regex: str, names: list[str]) -> Column:
-    """The regex's groups as a struct, null where it does not match.
+def _fields(message: Column, text: str, regex: str, groups: int) -> Column:
+    """The regex's groups as an array, null where it does not match.
 
-    ``text`` occurs in whatever matches; looking for it first spares most lines the regex.
+    ``text`` occurs in whatever matches; looking for it first spares most lines the
+    regex. One replacement takes all groups out at once: only the last of them can
+    hold a line break, so line breaks separate them.
     """
-    groups = [F.regexp_extract(message, regex, i + 1).alias(name) for i, name in enumerate(names)]
-    return F.when(message.contains(text) & message.rlike(regex), F.struct(*groups))
+    separated = "\n".join(f"${i + 1}" for i in range(groups))
+    taken = F.regexp_replace(message, F.lit(rf"^[\s\S]*?{regex}[\s\S]*$"), F.lit(separated))
+    return F.when(message.contains(text) & message.rlike(regex), F.split(taken, "\n", groups))
 
 
 def parse_records(events: DataFrame, run_date: date | None = None, strict: bool = False) -> DataFrame:
@@ -112,38 +115,36 @@ def parse_records(events: DataFrame, run_date: date | None = None, strict: bool
     with its line. Records without a readable timestamp are filed under the run date.
     """
     message = F.col("message")
-    head = ["stamp", "file", "line", "log_level"]
-    state_names = [*head, "task_status", "dag_id", "task_id", "execution_date", "start_date"]
-    state_regex = STATE if strict else STATE + r"([^\r\n]*)"
-    if not strict:
-        state_names.append("end_date")
-    trace_regex = FAILURE + (r"(.*)" if strict else r"(?s:(.*))")
-    parsed = events.withColumn("_state", _fields(message, STATE_TEXT, state_regex, state_names)).withColumn(
-        "_failure",
-        F.when(F.col("_state").isNull(), _fields(message, FAILURE_TEXT, trace_regex, [*head, "exception_trace"])),
+    end = r"()" if strict else r"([^\r\n]*)"
+    trace = r"(.*)" if strict else r"(?s:(.*))"
+    parsed = events.withColumn("_state", _fields(message, STATE_TEXT, STATE + end, 10)).withColumn(
+        "_failure", F.when(F.col("_state").isNull(), _fields(message, FAILURE_TEXT, FAILURE + trace, 5))
     )
 
-    def first(name: str) -> Column:
-        return F.coalesce(F.col("_state")[name], F.col("_failure")[name])
+    def state(group: int) -> Column:
+        return F.get("_state", group - 1)
 
-    stamp = F.try_to_timestamp(first("stamp"), F.lit(STAMP_FORMAT))
-    end_date = F.lit(None).cast("string") if strict else F.col("_state.end_date")
-    status = F.when(message.contains(FAILURE_TEXT), F.lit("FAILED")).otherwise(F.col("_state.task_status"))
+    def either(group: int) -> Column:
+        return F.coalesce(state(group), F.get("_failure", group - 1))
+
+    stamp = F.try_to_timestamp(either(1), F.lit(STAMP_FORMAT))
+    end_date = F.lit(None).cast("string") if strict else state(10)
+    status = F.when(message.contains(FAILURE_TEXT), F.lit("FAILED")).otherwise(state(5))
     filed = F.lit(run_date) if run_date else F.current_date()
     given = [F.col(n).alias("log_file") if n == "file" else F.col(n) for n in events.columns]
     return parsed.select(
         *given,
         stamp.alias("log_timestamp"),
-        first("file").alias("file"),
-        first("line").try_cast("int").alias("line"),
-        first("log_level").alias("log_level"),
+        either(2).alias("file"),
+        either(3).try_cast("int").alias("line"),
+        either(4).alias("log_level"),
         status.alias("task_status"),
-        F.col("_state.dag_id").alias("dag_id"),
-        F.col("_state.task_id").alias("task_id"),
-        F.col("_state.execution_date").alias("execution_date"),
-        F.col("_state.start_date").alias("start_date"),
+        state(6).alias("dag_id"),
+        state(7).alias("task_id"),
+        state(8).alias("execution_date"),
+        state(9).alias("start_date"),
         end_date.alias("end_date"),
-        F.col("_failure.exception_trace").alias("exception_trace"),
+        F.get("_failure", 4).alias("exception_trace"),
         (F.col("_state").isNotNull() | F.col("_failure").isNotNull()).alias("parse_ok"),
         F.coalesce(utc_date(stamp), filed).alias("log_date"),
     )

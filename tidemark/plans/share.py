@@ -12,7 +12,7 @@ from tidemark.fixed_values import AGE_GROUP_CODES, BRAND_GROUPS
 from tidemark.operators import share as ops
 from tidemark.operators.merge import stamp
 from tidemark.schemas import SHARE, SHARE_KEYS
-from tidemark.sinks.files import append_new, dual_export, gathered, upsert_partitions, write_partitioned
+from tidemark.sinks.files import append_new, dual_export, gathered, publish_files, upsert_partitions, write_partitioned
 from tidemark.sources.relational import ordered_share
 
 
@@ -61,6 +61,13 @@ def dump_share(spark: SparkSession, path: str, parquet_path: str, csv_path: str)
     return dual_export(ordered_share(read_share(spark, path)), parquet_path, csv_path)
 
 
+def publish_dump(spark: SparkSession, parquet_path: str, store_root: str, name: str) -> str:
+    """Copies the Parquet dump to the object store and returns its place there."""
+    target = f"{store_root}/processed/{name}"
+    publish_files(spark, parquet_path, target, SHARE)
+    return target
+
+
 def empty_share(spark: SparkSession, path: str) -> None:
     """An empty table directory, for a first incremental run."""
     write_partitioned(spark.createDataFrame([], SHARE).where(F.lit(False)), path, ["period"], mode="append")

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.merge import new_rows, upsert_by_key
 from tidemark.schemas import RAW
@@ -65,19 +66,19 @@ def dual_export(df: DataFrame, parquet_path: str, csv_path: str) -> bool:
     return True
 
 
+def publish_files(spark: SparkSession, source: str, target: str, schema: StructType) -> None:
+    """Copies the Parquet files below a folder; other files stay behind."""
+    reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+    reader.parquet(source).write.mode("overwrite").parquet(target)
+
+
 def publish_snapshot(
     spark: SparkSession, source_root: str, target_root: str, run_date: date, folder: str, entities: Iterable[str]
 ) -> None:
     """Copies the Parquet files of a landed run to its place in the object store, entity by entity."""
     for entity in entities:
         relative = f"raw/{run_date:%Y%m%d}/{folder}/{entity}"
-        files = (
-            spark.read.schema(RAW[entity])
-            .option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", True)
-            .parquet(f"{source_root}/{relative}")
-        )
-        files.write.mode("overwrite").parquet(f"{target_root}/{relative}/data.parquet")
+        publish_files(spark, f"{source_root}/{relative}", f"{target_root}/{relative}/data.parquet", RAW[entity])
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
