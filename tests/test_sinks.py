@@ -36,6 +36,13 @@ def test_partition_replace_and_append(spark, tmp_path, rows):
         files.write_partitioned(one, path, mode="other")
 
 
+def test_many_days_are_gathered_and_large_ones_may_split(spark, tmp_path, plan):
+    many = spark.range(1_000).repartition(8).selectExpr("id", "date_add(DATE '2024-01-01', CAST(id % 20 AS INT)) AS d")
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(files.gathered(many, ["d"]))
+    files.write_partitioned(many, str(tmp_path / "f"), ["d"], gather=True)
+    assert len(list((tmp_path / "f").glob("d=*/*.parquet"))) == 20
+
+
 def test_feature_day_prunes_and_keeps_its_column(spark, tmp_path, plan):
     path = str(tmp_path / "f")
     files.write_partitioned(spark.createDataFrame([(1, DAY)], "v int, feature_date date"), path)

@@ -35,6 +35,21 @@ def test_files_one_by_one_equal_the_batch_and_a_restart_adds_nothing(spark, tmp_
     assert spark.read.parquet(path).count() == 4
 
 
+def test_running_service_picks_up_new_messages(spark, tmp_path):
+    topic, path = str(tmp_path / "topic"), str(tmp_path / "news")
+    to_messages(article(spark, "a")).write.mode("append").text(topic)
+    query = news.news_to_table(
+        topics.stream_topic(spark, "text", topic), path, str(tmp_path / "cp"), DAY, every="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        to_messages(article(spark, "b")).write.mode("append").text(topic)
+        query.processAllAvailable()
+        assert spark.read.parquet(path).count() == 2
+    finally:
+        query.stop()
+
+
 def test_broken_messages_can_be_left_out(spark, tmp_path):
     topic, path = str(tmp_path / "topic"), str(tmp_path / "news")
     spark.createDataFrame([("{",), ('{"source":"s"}',)], "value string").write.text(topic)
