@@ -18,6 +18,11 @@ def test_null_array_never_drops_a_row(spark, rows):
     assert rows(cleaning.drop_nulls(cleaning.clean_strings(df))) == [("v", "")]
 
 
+def test_drop_nulls_drops_nan(spark, rows):
+    df = spark.createDataFrame([("a", 1.0), ("b", float("nan")), ("c", None)], "x string, y double")
+    assert rows(cleaning.drop_nulls(df)) == [("a", 1.0)]
+
+
 def test_drop_nulls_subset(spark, rows):
     df = spark.createDataFrame([("a", None), (None, "b")], "x string, y string")
     assert rows(cleaning.drop_nulls(df, ["x"])) == [("a", None)]
@@ -81,4 +86,5 @@ def test_outlier_filter_reaches_the_scan_below_the_duplicate_removal(spark, tmp_
     spark.createDataFrame([("c1", "t", 1, 1, 1)], RAW_CHANNEL).write.parquet(str(tmp_path / "c"))
     text = plan(cleaning.bronze_channels(spark.read.schema(RAW_CHANNEL).parquet(str(tmp_path / "c")), DAY))
     assert "GreaterThanOrEqual(subscriber_count,0)" in text
+    assert "IsNotNull(channel_title)" in text
     assert text.count("Exchange") == 1

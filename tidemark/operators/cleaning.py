@@ -26,7 +26,15 @@ def clean_strings(df: DataFrame) -> DataFrame:
 
 
 def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    return df.na.drop("any", subset=list(subset) if subset else None)
+    """Rows without a missing value (or NaN) in any of the columns.
+
+    One test per column, so that Spark can hand those on plain columns to the scan
+    and leave out those that cannot fail.
+    """
+    fields = [f for f in df.schema.fields if subset is None or f.name in subset]
+    present = [F.col(f"`{f.name}`").isNotNull() for f in fields]
+    numbers = [F.col(f"`{f.name}`") for f in fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    return df.where(reduce(lambda a, b: a & b, present + [~F.isnan(n) for n in numbers], F.lit(True)))
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
@@ -52,10 +60,12 @@ def to_bronze(
 ) -> DataFrame:
     """Clean, drop incomplete and repeated rows, then filter.
 
-    The filters stand after the duplicate removal; Catalyst moves them below it
-    and hands the counter conditions to the scan.
+    Trimming neither makes nor fills a gap and a joined array has none, so gaps are
+    looked for in the raw columns, where the scan can skip them. The filters stand after
+    the duplicate removal; Catalyst moves them below it and to the scan.
     """
-    rows = raw.transform(clean_strings).transform(drop_nulls).transform(dedup_rows)
+    plain = [f.name for f in raw.schema.fields if not isinstance(f.dataType, T.ArrayType)]
+    rows = drop_nulls(raw, plain).transform(clean_strings).transform(dedup_rows)
     if text_column:
         rows = remove_short_text(rows, text_column, min_length)
     return add_run_date(remove_outliers(rows, outliers), run_date)
