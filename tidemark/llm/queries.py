@@ -7,10 +7,36 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, fourier_quality, perfect_hash, subsequence_extract, warc_salvage
+from tidemark.llm import (
+    block_anchors,
+    byte_bpe,
+    fourier_quality,
+    mixture_packing,
+    perfect_hash,
+    subsequence_extract,
+    suffix_dedup,
+    warc_salvage,
+)
 from tidemark.llm.common import table
 
 
+#: Closes every document in the packed sequences.
+END_TOKEN = 2
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return mixture_packing.pack(table(spark, sf_dir, "documents"), path, END_TOKEN)
+
+
+def op3_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_anchors.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_salvage.page_records(table(spark, sf_dir, "pages"))
 
@@ -36,6 +62,9 @@ def op10_subsequence_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
+        op2_mixture_packing,
+        op3_block_anchors,
         op5_warc_salvage,
         op7_fourier_quality,
         op8_byte_bpe,
