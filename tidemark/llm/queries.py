@@ -12,6 +12,7 @@ from tidemark.llm import (
     byte_bpe,
     fourier_quality,
     mixture_packing,
+    odd_sketch,
     perfect_hash,
     subsequence_extract,
     suffix_dedup,
@@ -37,6 +38,10 @@ def op3_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_anchors.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op4_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_salvage.page_records(table(spark, sf_dir, "pages"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_suffix_dedup,
         op2_mixture_packing,
         op3_block_anchors,
+        op4_odd_sketch,
         op5_warc_salvage,
         op7_fourier_quality,
         op8_byte_bpe,
