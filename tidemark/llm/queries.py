@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
     block_anchors,
     byte_bpe,
     fourier_quality,
     mixture_packing,
+    multi_index,
     odd_sketch,
     perfect_hash,
     subsequence_extract,
@@ -46,6 +48,10 @@ def op5_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_salvage.page_records(table(spark, sf_dir, "pages"))
 
 
+def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fourier_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_block_anchors,
         op4_odd_sketch,
         op5_warc_salvage,
+        op6_multi_index,
         op7_fourier_quality,
         op8_byte_bpe,
         op9_perfect_hash_dedup,
