@@ -74,17 +74,19 @@ def statistics(text: bytes) -> list[float]:
 
 
 def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The statistics of every whole text, one column each."""
+    """doc_id, text_key (a hash of the text, which tells rows of equal ids apart) and the statistics of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([statistics(text) for text in texts_of(batch)]).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(values[:, i]) for i in range(len(FEATURES)))], ["doc_id", *FEATURES]
+                [batch.column(0), batch.column(1), *(pa.array(values[:, i]) for i in range(len(FEATURES)))],
+                ["doc_id", "text_key", *FEATURES],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, text_key long, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
 class Model(NamedTuple):
@@ -198,14 +200,15 @@ def fit(stats: DataFrame, labels: DataFrame, fold: Column, id_col: str = "doc_id
 
 
 def score(stats: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every row of statistics."""
+    """doc_id, text_key and score of every row of statistics."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = model.scores(_stats(batch)) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "score"])
 
-    return stats.select("doc_id", *FEATURES).mapInArrow(run, "doc_id long, score double")
+    return stats.mapInArrow(run, "doc_id long, text_key long, score double")
 
 
 def fold_of(id_col: str = "doc_id") -> Column:
@@ -214,9 +217,13 @@ def fold_of(id_col: str = "doc_id") -> Column:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document; learned from labels outside the held-out third."""
+    """doc_id, text_key, held_out, score, predicted of every document; learned from labels outside the held-out third."""
     stats = staged(document_statistics(docs), "statistics")
     model = fit(stats, labels, fold_of())
     return score(stats, model).select(
-        "doc_id", (fold_of() == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id",
+        "text_key",
+        (fold_of() == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )

@@ -13,8 +13,8 @@ unseen pair: two members that are joined already need no link of their own.
 Samples suffice to miss a pair at the threshold with a probability below 1e-7.
 
 Defined results: a null or empty text, or one without words, has no shingles and is linked with nothing; fewer than four
-words are one shingle. Links join ids, so rows that share an id share a component; rows without an id count as one
-document that ranks after all others, and their component is null if it has no other id. Empty tables give no rows; other columns are not looked at.
+words are one shingle. Links join ids, so rows that share an id are one document. A row without an id is a document of its
+own (with its equals) that ranks after all others; a component of such rows alone has no id. Ids are below 2**62. Empty tables give no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LAST_ID, bytes_of, mix, ranked_id, staged
+from tidemark.llm.common import bytes_of, mix, staged
 from tidemark.llm.components import components
 from tidemark.llm.words import LOWER, rolling, word_hashes
 
@@ -40,6 +40,8 @@ THRESHOLD = 80
 #: A pair goes to confirmation if its sketches differ in no more bits: what similarity 0.5 leaves on average, about six
 #: deviations from what 0.8 does. Of d samples that differ 2 * d bits are flipped, some twice.
 MOST_BITS = int(SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - 0.5) / SKETCH_BITS)))
+#: Rows without an id stand in the graph under numbers from here on.
+NO_ID = 1 << 62
 #: Ids that a broadcast may hold (8 bytes each); beyond it the join shuffles.
 FEW_IDS = 1_000_000
 STEP = 1 << 18
@@ -99,7 +101,7 @@ def _each(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """n_shingles, a 128-bit digest of the set, sketch and bands of every row (doc_id, text)."""
+    """n_shingles, a 128-bit digest of the set, sketch and bands of every row (doc_id, text_key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,15 +122,16 @@ def signatures(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_key"),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(sketches, longs),
                     pa.array(banded, longs),
                 ],
-                ["doc_id", "n_shingles", "digest", "sketch", "bands"],
+                ["doc_id", "text_key", "n_shingles", "digest", "sketch", "bands"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch array<long>, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_key long, n_shingles long, digest binary, sketch array<long>, bands array<long>")
 
 
 def _full_sets(docs: DataFrame) -> DataFrame:
@@ -182,7 +185,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members (doc_id, n_shingles, digest) and one representative per set (doc_id, n_shingles, digest, sketch, bands)."""
     signed = staged(signatures(docs), "signatures")
-    members = signed.select("doc_id", "n_shingles", "digest")
+    members = signed.select("doc_id", "text_key", "n_shingles", "digest")
     # min of a struct is combined before the shuffle; the id comes first, so the smallest represents the class.
     one = F.min(F.struct("doc_id", "n_shingles", "sketch", "bands")).alias("r")
     representatives = signed.where("digest IS NOT NULL").groupBy("digest").agg(one).select("digest", "r.*")
@@ -227,18 +230,26 @@ def links(docs: DataFrame, representatives: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (the smallest id of its component) of every row."""
-    rows = docs.select(ranked_id(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """doc_id, n_shingles, component_id and kept (the smallest id of its component) of every row.
+
+    ``text_key``, a hash of the text, tells rows without an id apart.
+    """
+    text = F.col(text_col).cast("string")
+    stand_in = F.xxhash64(text).bitwiseAND(F.lit(NO_ID - 1)).bitwiseOR(F.lit(NO_ID))
+    rows = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), stand_in).alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text")
+    )
     members, representatives = _classes(rows)
     labels = links(rows, representatives)
     classes = representatives.select("digest", "doc_id").join(labels, "doc_id", "left")
     classes = classes.select("digest", F.coalesce("component", "doc_id").alias("component"))
-    known = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
+    known = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
     return (
         members.join(classes, "digest", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
         .select(
             known("doc_id").alias("doc_id"),
+            "text_key",
             "n_shingles",
             known("component").alias("component_id"),
             (F.col("doc_id") == F.col("component")).alias("kept"),

@@ -41,7 +41,7 @@ def op3_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
+    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op5_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +53,8 @@ def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fourier_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scored = fourier_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.drop("text_key")
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
