@@ -353,7 +353,8 @@ def equal_prefixes(data: bytes, begin: np.ndarray, depth: int) -> Iterator[list[
         character = (character << np.uint64(8)) | raw[i : i + n]
     active = np.arange(len(begin))
     group = np.zeros(len(begin), np.int64)
-    for level in range(0, min(SHALLOW, depth), 8):
+    shallow = min(SHALLOW, depth) // 8 * 8
+    for level in range(0, shallow, 8):
         key = character[begin[active] + level]
         order = np.lexsort((key, group)) if level else np.argsort(key, kind="stable")
         active, group, key = active[order], group[order], key[order]
@@ -369,7 +370,7 @@ def equal_prefixes(data: bytes, begin: np.ndarray, depth: int) -> Iterator[list[
     ends = np.append(starts[1:], len(active))
     numbers, places = active.tolist(), begin[active].tolist()
     for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-        yield from blind_trie(data, numbers[a:b], places[a:b], min(SHALLOW, depth), depth)
+        yield from blind_trie(data, numbers[a:b], places[a:b], shallow, depth)
 
 
 def blind_trie(data: bytes, numbers: list[int], places: list[int], start: int, depth: int) -> Iterator[list[int]]:
