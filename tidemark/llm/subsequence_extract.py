@@ -187,7 +187,10 @@ def learn_weights(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE
     labelled = pages.select(F.col(html_col).cast("string").alias("html")).where(
         F.col("html").rlike("(?i)<(article|main)[\\s>]")
     )
-    picked = labelled.orderBy(F.xxhash64("html")).limit(sample)
+    # A first cut by hash, about four times what is wanted of all pages, keeps what meets in one task small.
+    share = min(1.0, 4 * sample / max(1, pages.count()))
+    few = labelled.where(F.xxhash64("html") <= F.lit(int((share - 0.5) * 2**64) - 1 if share < 1 else 2**63 - 1))
+    picked = few.orderBy(F.xxhash64("html")).limit(sample)
     counted = picked.mapInArrow(run, "kind string, inside boolean, n long").groupBy("kind", "inside").agg(F.sum("n").alias("n"))
     # Kinds are tag names: take those that occur often enough to learn from, a bounded number.
     rows = counted.where("n >= 5").orderBy(F.desc("n"), "kind").limit(2_000).collect()
