@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import logs as ops
 from tidemark.plans.logs import log_records, write_records
+from tidemark.sinks.files import staged
 from tidemark.sources.loglines import number_lines, read_log_lines
 
 DAY = date(2024, 2, 1)
@@ -119,3 +120,55 @@ def test_daily_records(spark, tmp_path):
         (date(2024, 1, 5), "SUCCESS", None),
         (date(2024, 1, 6), "FAILED", "\ntrace"),
     ]
+
+
+def long_events(spark):
+    """Failures, noise and state changes with many lines each, and lines before any event."""
+    body = ["lead", ""]
+    body += [FAIL + " first"] + [f"  File {i}" for i in range(11)] + [""]
+    body += [HEAD + "INFO - DagRun z was created"] + [f"n{i}" for i in range(9)]
+    body += [OK] + [f"more {i}" for i in range(5)] + [FAIL]
+    body += ["[2024-x"] + ["before"] * 4 + [FAIL[1:] + " late", FAIL[1:] + " later", "tail", "", "end"]
+    body += ["[2024-y", "quiet", "x INFO - DagRun q created", "z"]
+    return lines(spark, *body)
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_no_field_depends_on_the_size_of_parts(spark, strict):
+    def whole(size):
+        parts = staged(ops.multiline(long_events(spark), lines_per_part=size, grammar=True), "parts")
+        fields = {}
+        for r in sorted(ops.parse_parts(parts, DAY, strict).collect(), key=lambda r: (r.first_line, r.part)):
+            r = r.asDict()
+            message, trace = r.pop("message"), r.pop("exception_trace")
+            del r["part"], r["n_lines"]
+            known = fields.setdefault(r["first_line"], (r, [], []))
+            assert known[0] == r
+            known[1].append(message)
+            known[2].extend([] if trace is None else [trace])
+        return {k: (r, "\n".join(m), "\n".join(t) if t else None) for k, (r, m, t) in fields.items()}
+
+    expected = {}
+    for r in ops.parse_records(ops.drop_noise(ops.multiline(long_events(spark), lines_per_part=10**6)), DAY, strict).collect():
+        r = r.asDict()
+        message, trace = r.pop("message"), r.pop("exception_trace")
+        del r["part"], r["n_lines"]
+        expected[r["first_line"]] = (r, message, trace)
+    assert len(expected) == 5
+    for size in (1, 2, 3, 500, 10**6):
+        assert whole(size) == expected, size
+
+
+def test_an_event_of_one_empty_line_is_noise(spark):
+    parts = staged(ops.multiline(lines(spark, ""), grammar=True), "parts")
+    assert ops.parse_parts(parts, DAY).count() == 0
+    parts = staged(ops.multiline(lines(spark, "", ""), lines_per_part=1, grammar=True), "parts")
+    assert ops.parse_parts(parts, DAY).count() == 2
+
+
+def test_lines_are_scanned_once(spark, tmp_path):
+    (tmp_path / "a.log").write_text("\n".join(["[2024-a", "b"] * 50))
+    events = ops.multiline(number_lines(read_log_lines(spark, str(tmp_path))), block=F.col("block"))
+    events.collect()
+    final = events._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan") == 1

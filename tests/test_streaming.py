@@ -81,7 +81,7 @@ def test_log_files_become_daily_records_once(spark, tmp_path):
     (source / "b.log").write_text("plain\n")
 
     def run():
-        lines = logs.stream_log_lines(spark, str(source), maxFilesPerTrigger="1")
+        lines = logs.stream_log_lines(spark, str(source), "*.log", maxFilesPerTrigger="1")
         logs.logs_to_table(lines, path, checkpoint, DAY).awaitTermination()
 
     run()
@@ -93,11 +93,41 @@ def test_log_files_become_daily_records_once(spark, tmp_path):
     ]
 
 
-def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+def test_a_batch_that_is_run_again_on_another_day_replaces_itself(spark, tmp_path, rows):
     path = str(tmp_path / "records")
-    write = logs.batch_writer(path, DAY, join_lines=False)
-    batch = spark.createDataFrame([("plain", "s", "l", "f", 0)], "message string, service string, log_type string, file string, block bigint")
-    write(batch, 0)
-    write(batch, 0)
-    write(batch, 1)
-    assert spark.read.parquet(path).groupBy("batch_id").agg(F.count("*").alias("n")).orderBy("batch_id").collect() == [(0, 1), (1, 1)]
+    ddl = "message string, service string, log_type string, file string, block bigint, arrived date"
+    batch = spark.createDataFrame([("plain", "s", "l", "f", 0, DAY), (HEAD + "x", "s", "l", "f", 0, DAY)], ddl)
+    for join_lines in (False, True):
+        # No run date: the default must not depend on the clock.
+        write = logs.batch_writer(path, None, join_lines=join_lines)
+        for number in (0, 0, 1):
+            write(batch, number)
+        got = spark.read.parquet(path).groupBy("batch_id", "log_date").agg(F.count("*").alias("n"))
+        assert rows(got) == [(0, DAY, 2), (1, DAY, 2)]
+
+
+def test_days_are_the_first_level(spark, tmp_path):
+    path = tmp_path / "records"
+    ddl = "message string, service string, log_type string, file string, block bigint, arrived date"
+    logs.batch_writer(str(path), None, True)(spark.createDataFrame([("plain", "s", "l", "f", 0, DAY)], ddl), 7)
+    assert [p.name for p in path.glob("log_date=*")] == ["log_date=2024-02-01"]
+    assert [p.name for p in path.glob("log_date=*/*")] == ["batch_id=7"]
+
+
+def test_files_still_written_to_are_not_read(spark, tmp_path, rows):
+    source, path, checkpoint = tmp_path / "logs", str(tmp_path / "records"), str(tmp_path / "cp")
+    source.mkdir()
+    (source / "a.log").write_text("one\n")
+    (source / "b.log.1").write_text("closed\n")
+
+    def run():
+        lines = logs.stream_log_lines(spark, str(source), "*.log.[0-9]*")
+        logs.logs_to_table(lines, path, checkpoint, DAY, join_lines=False).awaitTermination()
+        return rows(spark.read.parquet(path), "message")
+
+    assert run() == [("closed",)]
+    with (source / "a.log").open("a") as file:
+        file.write("two\n")
+    assert run() == [("closed",)]
+    (source / "a.log").rename(source / "a.log.1")
+    assert run() == run() == [("closed",), ("one",), ("two",)]

@@ -97,6 +97,24 @@ LOGS = Binding(
     ],
 )
 
+# Events of more than a thousand lines: a failure with its trace, noise, a state change, over and over.
+LONG_LOGS = Binding(
+    "events",
+    [
+        "'worker.log' AS file",
+        "event_id AS line_no",
+        """CASE CAST(event_id % 4000 AS INTEGER)
+         WHEN 0 THEN concat('[', CAST(CAST(ts AS DATE) AS {text}),
+              'T00:00:00.000+0000] {{taskinstance.py:7}} ERROR - Task failed with exception E', CAST(user_id AS {text}))
+         WHEN 1300 THEN concat('[', CAST(CAST(ts AS DATE) AS {text}),
+              'T00:00:00.000+0000] {{dagrun.py:9}} INFO - DagRun x was created')
+         WHEN 2600 THEN concat('[', CAST(CAST(ts AS DATE) AS {text}),
+              'T00:00:00.000+0000] {{taskinstance.py:8}} INFO - Marking task as SUCCESS. dag_id=d', CAST(user_id AS {text}),
+              ', task_id=t1, execution_date=a, start_date=b, end_date=c')
+         ELSE concat('  line ', CAST(event_id AS {text}), ' ', event_type) END AS message""",
+    ],
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

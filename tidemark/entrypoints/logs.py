@@ -57,12 +57,37 @@ def log_sink_daily(spark, sf):
     return _epoch(spark.read.parquet(path)).select("log_file", "first_line", "part", "message", *FIELDS)
 
 
+def log_long_events(spark, sf):
+    """Events of far more lines than a stored row holds, put together again from the stored daily records."""
+    path = fresh_dir(spark, "records")
+    plans.write_records(plans.log_records(b.bind(spark, sf, b.LONG_LOGS), b.RUN_DATE), path)
+    event = ["log_file", "first_line", *[n for n in FIELDS if n != "exception_trace"]]
+    in_order = F.array_sort(F.collect_list(F.struct("part", "message", "exception_trace")))
+    whole = _epoch(spark.read.parquet(path)).groupBy(*event).agg(in_order.alias("parts"))
+    # array_join skips parts without a trace, which come before the failing line.
+    trace = F.when(F.array_max(F.transform("parts", lambda p: p["exception_trace"].isNotNull())), F.array_join("parts.exception_trace", "\n"))
+    return whole.select(*event, F.array_join("parts.message", "\n").alias("message"), trace.alias("exception_trace"))
+
+
 def log_stream_ingest(spark, sf):
     """Log files as a stream, line by line, in two runs on one checkpoint: the second adds nothing."""
-    source, path, checkpoint = _log_files(spark, sf), fresh_dir(spark, "records"), fresh_dir(spark, "offsets")
+    return _streamed(spark, _log_files(spark, sf), join_lines=False)
+
+
+def log_stream_events(spark, sf):
+    """Log files as a stream, the lines of an event joined. Every file holds the lines of one task in order."""
+    path = fresh_dir(spark, "logs")
+    per_task = b.log_lines(spark, sf).withColumn("task", F.floor(F.col("line_no") / 1000))
+    lines = per_task.groupBy("task").agg(F.array_sort(F.collect_list(F.struct("line_no", "message"))).alias("lines"))
+    lines.select("task", F.array_join("lines.message", "\n").alias("value")).write.partitionBy("task").text(path)
+    return _streamed(spark, path, join_lines=True)
+
+
+def _streamed(spark, source, **options):
+    path, checkpoint = fresh_dir(spark, "records"), fresh_dir(spark, "offsets")
     for _ in range(2):
-        lines = streams.stream_log_lines(spark, source)
-        streams.logs_to_table(lines, path, checkpoint, b.RUN_DATE, join_lines=False).awaitTermination()
+        lines = streams.stream_log_lines(spark, source, "part-*.txt")
+        streams.logs_to_table(lines, path, checkpoint, b.RUN_DATE, **options).awaitTermination()
     return _epoch(spark.read.parquet(path)).select("message", "service", "log_type", *FIELDS)
 
 
@@ -105,6 +130,17 @@ FROM (SELECT *, CAST(floor((line_no - first_line) / 500) AS BIGINT) AS part
       FROM (SELECT *, coalesce(max(CASE WHEN regexp_matches(message, '^\[\d{{4}}-') THEN line_no END)
                       OVER (PARTITION BY file ORDER BY line_no), 0) AS first_line FROM {LINES} r) f) p
 GROUP BY file, first_line, part)"""
+LONG_EVENTS = rf"""(
+SELECT file AS log_file, first_line, string_agg(message, chr(10) ORDER BY line_no) AS message
+FROM (SELECT *, coalesce(max(CASE WHEN regexp_matches(message, '^\[\d{{4}}-') THEN line_no END)
+                OVER (PARTITION BY file ORDER BY line_no), 0) AS first_line FROM {b.sql(b.LONG_LOGS)} r) f
+GROUP BY file, first_line)"""
+TASK_EVENTS = rf"""(
+SELECT task, first_line, string_agg(message, chr(10) ORDER BY line_no) AS message
+FROM (SELECT *, coalesce(max(CASE WHEN regexp_matches(message, '^\[\d{{4}}-') THEN line_no END)
+                OVER (PARTITION BY task ORDER BY line_no), 0) AS first_line
+      FROM (SELECT *, floor(line_no / 1000) AS task FROM {LINES} r) t) f
+GROUP BY task, first_line)"""
 QUIET_LINES = f"(SELECT * FROM {LINES} q WHERE {QUIET})"
 
 QUERIES = {
@@ -115,7 +151,9 @@ QUERIES = {
     "log_multiline_literal": lambda s, d: ops.multiline(b.log_lines(s, d), ops.TRACE_PATTERN).drop("message"),
     "log_parse": log_parse,
     "log_sink_daily": log_sink_daily,
+    "log_long_events": log_long_events,
     "log_stream_ingest": log_stream_ingest,
+    "log_stream_events": log_stream_events,
 }
 
 ORACLE = {
@@ -130,7 +168,15 @@ ORACLE = {
         f"(SELECT file AS log_file, first_line, part, message FROM {EVENTS} e WHERE {QUIET})",
         "log_file, first_line, part, message",
     ),
+    "log_long_events": parse_sql(
+        f"(SELECT * FROM {LONG_EVENTS} e WHERE NOT regexp_matches(message, 'INFO - DagRun[^\\n]*created'))",
+        "log_file, first_line, message",
+    ),
     "log_stream_ingest": parse_sql(
         f"(SELECT *, 'airflow' AS service, 'dag_logs' AS log_type FROM {QUIET_LINES} q)", "message, service, log_type"
     ),
+    "log_stream_events": parse_sql(
+        f"(SELECT *, 'airflow' AS service, 'dag_logs' AS log_type FROM {TASK_EVENTS} q WHERE {QUIET})",
+        "message, service, log_type",
+    ),
 }

@@ -6,14 +6,13 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 
-from tidemark.operators.logs import drop_noise, multiline, parse_records
-from tidemark.sinks.files import write_partitioned
+from tidemark.operators.logs import multiline, parse_parts
+from tidemark.sinks.files import staged, write_partitioned
 
 
 def log_records(lines: DataFrame, run_date: date, block: Column | None = None, **options) -> DataFrame:
-    """Numbered lines to records: group lines, drop noise, parse."""
-    events = multiline(lines, block=block, **options)
-    return parse_records(drop_noise(events), run_date)
+    """Numbered lines to records: group lines, drop noise, parse. The grouped lines are stored on the way."""
+    return parse_parts(staged(multiline(lines, block=block, grammar=True, **options), "events"), run_date)
 
 
 def write_records(records: DataFrame, path: str) -> None:

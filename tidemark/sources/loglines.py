@@ -27,18 +27,21 @@ def number_lines(lines: DataFrame) -> DataFrame:
     """Adds ``line_no``, 0-based and without gaps per file.
 
     Lines are counted inside each split; the splits' own counts, one small row
-    each, give the offsets. A huge file is therefore never sorted in one task.
+    each, give the offsets. A huge file is therefore never sorted in one task, as
+    long as it can be split: a gzip file is one split and costs one task.
     """
     in_block = Window.partitionBy("file", "block").orderBy("at")
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    others = [c for c in lines.columns if c not in ("file", "block", "at")]
+    counted = lines.repartition("file", "block").withColumn("at", F.row_number().over(in_block))
+    # The whole last line is taken along: the same columns are shuffled for it as for the lines, once.
     offsets = (
-        lines.groupBy("file", "block")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+        counted.groupBy("file", "block")
+        .agg(F.max(F.struct("at", *others)).alias("last"))
+        .select("file", "block", F.coalesce(F.sum("last.at").over(earlier), F.lit(0)).alias("offset"))
     )
     return (
-        lines.withColumn("at", F.row_number().over(in_block))
-        .join(offsets, ["file", "block"])
+        counted.join(offsets, ["file", "block"])
         .withColumn("line_no", F.col("offset") + F.col("at") - 1)
         .drop("at", "offset")
     )

@@ -9,21 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.logs import drop_noise, multiline, parse_records
-from tidemark.sinks.files import write_partitioned
+from tidemark.functions.columns import utc_date
+from tidemark.operators.logs import drop_noise, multiline, parse_parts, parse_records
+from tidemark.sinks.files import staged, write_partitioned
 from tidemark.sources.loglines import number_lines
 
 
 def stream_log_lines(
-    spark: SparkSession, path: str, service: str = "airflow", log_type: str = "dag_logs", **options: str
+    spark: SparkSession, path: str, closed: str, service: str = "airflow", log_type: str = "dag_logs", **options: str
 ) -> DataFrame:
-    """Lines of newly arriving log files with their tags."""
-    return spark.readStream.format("text").options(**options).load(path).select(
+    """Lines of newly arriving closed log files with their tags.
+
+    A file is read once, so lines appended later would be lost. ``closed`` is the pattern of names that only finished
+    files have (rotated, or moved in when complete); files that are still written to are not looked at.
+    """
+    return spark.readStream.format("text").option("pathGlobFilter", closed).options(**options).load(path).select(
         F.col("value").alias("message"),
         F.lit(service).alias("service"),
         F.lit(log_type).alias("log_type"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
+        utc_date(F.col("_metadata.file_modification_time")).alias("arrived"),
     )
 
 
@@ -32,23 +38,26 @@ def batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """Parses one micro-batch and replaces exactly its own output.
 
-    Each batch owns the partitions that carry its number, so a batch that is
-    run again after a failure leaves no second copy.
+    Below each day a batch owns the partition that carries its number. Records without a readable timestamp are filed
+    under ``run_date`` or the day their file was written, never under the day of processing: a batch that is run again
+    on a later day finds the same partitions and leaves no second copy.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        events = batch
+        arrived = F.col("arrived")
         if join_lines:
             numbered = number_lines(batch.withColumn("at", F.monotonically_increasing_id()))
-            events = multiline(
-                numbered, block=F.col("block"), carry=("service", "log_type"), **(multiline_options or {})
-            )
-        records = parse_records(drop_noise(events), run_date).select(
+            carry = ("service", "log_type", "arrived")
+            options = {"block": F.col("block"), "carry": carry, "grammar": True, **(multiline_options or {})}
+            records = parse_parts(staged(multiline(numbered, **options), "events"), run_date, arrived=arrived)
+        else:
+            records = parse_records(drop_noise(batch), run_date, arrived=arrived)
+        records = records.select(
             "message", "service", "log_type", "log_timestamp", "file", "line", "log_level", "task_status", "dag_id",
             "task_id", "execution_date", "start_date", "end_date", "exception_trace", "parse_ok", "log_date",
         )
         write_partitioned(
-            records.withColumn("batch_id", F.lit(batch_id)), path, ["batch_id", "log_date"], gather=True
+            records.withColumn("batch_id", F.lit(batch_id)), path, ["log_date", "batch_id"], gather=True
         )
 
     return write
@@ -63,7 +72,7 @@ def logs_to_table(
     join_lines: bool = True,
     multiline_options: dict | None = None,
 ) -> StreamingQuery:
-    """Starts the ingest of log files into a table partitioned by day."""
+    """Starts the ingest of log files into a table partitioned by day and batch."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         lines.writeStream.outputMode("append")
