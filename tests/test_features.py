@@ -65,9 +65,9 @@ def silver(spark):
     return videos, channels
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_training_features(silver, rows, max_rows):
-    got = features.training_features(*silver, DAY, max_broadcast_rows=max_rows)
+@pytest.mark.parametrize("salted", [None, True, False])
+def test_training_features(silver, rows, salted):
+    got = features.training_features(*silver, DAY, salted=salted)
     assert got.columns == [*features.FEATURE_COLUMNS, "feature_date"]
     assert rows(got) == [
         (9, 1, 0.1, 0.1, 0.3, 200_000, 5, 6, 1, "gold", DAY),
@@ -83,8 +83,26 @@ def test_training_features_tolerate_missing_columns_and_keep_keys(silver):
     assert "engagement_score" not in got.columns and "video_count" not in got.columns
 
 
-def test_small_channel_side_is_broadcast(silver, plan):
-    assert "BroadcastHashJoin" in plan(features.training_features(*silver, DAY))
+def test_small_channel_side_is_broadcast(spark, silver, plan, tmp_path):
+    videos, channels = silver
+    channels.write.parquet(str(tmp_path / "c"))
+    stored = spark.read.parquet(str(tmp_path / "c"))
+    assert "BroadcastHashJoin" in plan(features.training_features(videos, stored, DAY))
+
+
+def test_large_channel_side_is_joined_salted_by_a_shuffle(spark, silver, plan):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        text = plan(features.training_features(*silver, DAY))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for text in (text, plan(features.training_features(*silver, DAY, salted=True))):
+        assert "SortMergeJoin [channel_id" in text and "_salt" in text and "Broadcast" not in text
+
+
+@pytest.mark.parametrize("text, size", [("-1", -1), ("52428800", 52_428_800), ("50m", 50 << 20), ("256KB", 256 << 10)])
+def test_size_settings(text, size):
+    assert skew._bytes(text) == size
 
 
 def test_hot_key_is_found_and_spread(spark):

@@ -64,7 +64,7 @@ def test_hot_repeated_key_is_reduced_before_the_shuffle(spark, plan):
 
 def test_merge_statement():
     text = merge.merge_statement("t1", "s1", ["k", "j"])
-    assert "ON t.`k` = s.`k` AND t.`j` = s.`j`" in text and "UPDATE SET *" in text
+    assert "ON t.`k` <=> s.`k` AND t.`j` <=> s.`j`" in text and "UPDATE SET *" in text
     assert "UPDATE" not in merge.merge_statement("t1", "s1", ["k"], update=False)
 
 
@@ -81,3 +81,10 @@ def test_only_touched_partitions_are_rebuilt(spark, rows, tmp_path):
     for _ in range(2):
         files.append_new(spark, path, source.selectExpr("k", "v + 1 AS v", "d + 1 AS d"), ["d", "k"], by="d")
     assert rows(spark.read.parquet(path).where("d > 2"), "k", "v", "d") == [("b", 8, 3), ("x", 8, 3), ("x", 9, 4)]
+
+
+def test_keys_with_nulls_are_keys(spark, rows):
+    target, source = frame(spark, (None, 1, 1), ("a", 1, 1)), frame(spark, (None, 2, 2), ("b", 1, 1))
+    once = merge.upsert_by_key(target, source, ["k"], ["n"])
+    assert rows(once) == rows(merge.upsert_by_key(once, source, ["k"], ["n"])) == sorted([(None, 2, 2), ("a", 1, 1), ("b", 1, 1)], key=repr)
+    assert rows(merge.insert_ignore(target, source, ["k"], ["n"])) == sorted([(None, 1, 1), ("a", 1, 1), ("b", 1, 1)], key=repr)

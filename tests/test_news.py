@@ -31,19 +31,24 @@ def test_keyword_filter(articles, rows):
     assert rows(ops.keyword_filter(articles, mode="and"), "link") == [("both",)]
 
 
-def test_semi_join_agrees_with_the_filter_for_any_block_size(spark, articles, rows):
+def test_semi_join_agrees_with_the_filter_either_way(spark, articles, rows):
     terms = ops.keyword_dim(spark, BRAND_TERMS, MARKET_TERMS)
     expected = rows(ops.keyword_filter(articles))
-    for size in (5_000, 40, 7):
+    for size in (5_000, 0):
         assert rows(ops.keyword_semi_join(articles, terms, size)) == expected
-    assert ops.keyword_semi_join(articles, terms.where(F.lit(False))).count() == 0
+        assert rows(ops.keyword_semi_join(articles.union(articles), terms, size)) == sorted(expected * 2, key=repr)
+        assert ops.keyword_semi_join(articles, terms.where(F.lit(False)), size).count() == 0
+        assert ops.keyword_semi_join(articles, spark.createDataFrame([("",), (None,)], "term string"), size).count() == 6
+        for term in ("강", "시장", "G", "날", "화", "없는말"):
+            one = spark.createDataFrame([(term,)], "term string")
+            assert rows(ops.keyword_semi_join(articles, one, size)) == rows(articles.where(F.contains(ops.content(), F.lit(term))))
 
 
-def test_semi_join_broadcasts_the_terms(spark, articles, plan):
+def test_semi_join_compares_no_text_with_every_term(spark, articles, plan):
     terms = ops.keyword_dim(spark, BRAND_TERMS)
-    for size in (5_000, 4):
+    for size in (5_000, 0):
         text = plan(ops.keyword_semi_join(articles, terms, size))
-        assert "BroadcastNestedLoopJoin BuildRight" in text and "BuildLeft" not in text and "Cartesian" not in text
+        assert "NestedLoop" not in text and "Cartesian" not in text
 
 
 letters = st.text(alphabet="ab.*[]^-\\|?& 가나포é👍", max_size=8)

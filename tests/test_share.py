@@ -122,3 +122,56 @@ def test_jdbc_options_split_by_date():
     options = relational.jdbc_options("jdbc:x", "t", date(2024, 1, 1), date(2024, 2, 1), 16, user="u")
     assert options["partitionColumn"] == "period" and options["numPartitions"] == "16"
     assert options["lowerBound"] == "2024-01-01" and options["user"] == "u"
+
+
+@pytest.mark.parametrize("count", [64, 65])
+def test_missing_ratios_and_repeated_brands_on_both_sides_of_the_width(spark, rows, count):
+    brands = [f"b{i}" for i in range(count)]
+    data = trend(spark, ("b0", 3.0), ("b1", None), ("b1", 1.0), ("b2", None))
+    got = rows(ops.zero_fill(data, [*brands, "b0"]), "brand", "ratio")
+    assert len(got) == count and dict(got) == dict.fromkeys(brands, 0.0) | {"b0": 3.0, "b1": 1.0}
+    assert dict(rows(ops.normalise(data, brands), "brand", "ratio"))["b1"] == 25.0
+    nothing = trend(spark, ("b2", None))
+    assert {r[1] for r in rows(ops.normalise(nothing, brands), "brand", "ratio")} == {0.0}
+
+
+def test_large_ratios_do_not_fail(spark, rows):
+    assert rows(ops.zero_fill(trend(spark, ("a", 1e12), ("b", float("nan"))), BRANDS), "brand", "ratio") == [("a", 1e12), ("b", 0.0), ("c", 0.0)]
+
+
+def test_unknown_genders_and_titles_are_counted_not_stored(spark, rows):
+    raw = spark.createDataFrame(
+        [(DAY, "m", "3", "a", 1.0), (DAY, "x", "3", "a", 1.0), (DAY, None, "3", None, 1.0)],
+        "period date, gender_code string, age_code string, brand string, ratio double",
+    )
+    assert rows(plans.labelled(raw), "gender") == [("male",)]
+    assert rows(ops.unknown_genders(raw)) == sorted([("x", 1), (None, 1)], key=repr)
+    assert rows(ops.unknown_brands(raw, ["a"])) == [(None, 1)]
+
+
+def raw_trend(spark, days):
+    return spark.range(days).selectExpr(
+        "date_add(DATE '2024-01-01', CAST(id AS INT)) AS period", "'m' AS gender_code", "'3' AS age_code", "'a' AS brand", "1.0D AS ratio"
+    )
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_refresh_replaces_all_days_in_any_mode(spark, tmp_path, mode):
+    path = str(tmp_path / "share")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        for days in (30, 4):
+            plans.full_refresh(raw_trend(spark, days), path, BRANDS)
+            assert plans.read_share(spark, path).select("period").distinct().count() == days
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [p.name for p in tmp_path.iterdir()] == ["share"]
+
+
+def test_first_incremental_run_makes_the_table(spark, tmp_path):
+    path = str(tmp_path / "share")
+    assert plans.incremental(spark, raw_trend(spark, 3), path, date(2024, 1, 2), BRANDS)
+    assert plans.read_share(spark, path).select("period").distinct().count() == 2
+    assert not plans.incremental(spark, raw_trend(spark, 3), path, date(2024, 1, 2), BRANDS)
+    assert plans.incremental(spark, raw_trend(spark, 3), path, date(2024, 1, 3), BRANDS, update=True)
+    assert plans.read_share(spark, path).count() == 9

@@ -52,7 +52,7 @@ def test_feature_day_prunes_and_keeps_its_column(spark, tmp_path, plan):
 
 def test_csv_export(spark, tmp_path):
     path = str(tmp_path / "csv")
-    files.export_csv(spark.range(50).selectExpr("id", "'음료, \"x\"' AS t"), path, 10, ["id"])
+    files.export_csv(spark.range(50).selectExpr("id", "'음료, \"x\"' AS t"), path, rows=10, keys=["id"])
     assert len(list((tmp_path / "csv").glob("*.csv"))) == 1
     assert snapshots.read_header_csv(spark, path).dtypes == [("id", "string"), ("t", "string")]
     typed = snapshots.read_header_csv(spark, path, "id bigint, t string").orderBy("id").collect()
@@ -117,7 +117,7 @@ def test_medallion(spark, tmp_path, rows):
     assert rows(got, "channel_tier", "feature_date") == [("platinum", DAY), (None, DAY)]
     silver = snapshots.read_table(spark, f"{folder}_silver.comments_feature").first()
     assert (silver.comment_length, silver.sentiment_flag, silver.feature_date) == (8, 1, DAY)
-    medallion.export_silver(spark, folder, "video_feature", ["video_id"], str(tmp_path / "x"))
+    medallion.export_silver(spark, folder, "video_feature", ["video_id"], str(tmp_path / "x"), rows=None)
     assert snapshots.read_header_csv(spark, str(tmp_path / "x")).count() == 2
     with pytest.raises(ValueError):
         medallion.run_medallion(spark, store, lake, folder, features, DAY, fail_on_issue=True)
@@ -126,3 +126,37 @@ def test_medallion(spark, tmp_path, rows):
     for layer in ("bronze", "silver"):
         tables.drop_namespace(spark, f"{folder}_{layer}")
         assert not (tmp_path / "lake" / f"{folder}_{layer}").exists()
+
+
+def test_csv_keeps_texts_as_they_are(spark, tmp_path, rows):
+    texts = ["", None, " a ", "x\ny", "x\r\ny", 'say "hi", \\ ok', "\t", '"', '""', "ende\n"]
+    df = spark.createDataFrame([(i, t, ["p", "q"]) for i, t in enumerate(texts)], "id bigint, t string, tags array<string>")
+    files.export_csv(df, str(tmp_path / "all"), rows=None)
+    back = snapshots.read_header_csv(spark, str(tmp_path / "all"), files.flat(df).schema)
+    assert rows(back) == rows(files.flat(df))
+    with pytest.raises(ValueError):
+        files.export_csv(df, str(tmp_path / "some"), rows=3)
+
+
+def test_dumps_are_in_key_order_across_files(spark, tmp_path):
+    # Partitions of uneven size: reading them back by size would change their order.
+    df = spark.range(40_000).selectExpr("id", "CASE WHEN id < 10000 THEN repeat('x', 300) ELSE 'y' END AS t").orderBy("id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert files.dual_export(df, str(tmp_path / "p"), str(tmp_path / "c"), ["id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted((tmp_path / "c").glob("part-*.csv"))
+    numbers = [int(line.split(",")[0]) for part in parts for line in part.read_text().splitlines()[1:]]
+    assert len(parts) > 1 and numbers == list(range(40_000))
+
+
+def test_same_columns_switch_in_one_step(spark, tmp_path):
+    tables.create_namespace(spark, "ns_switch", str(tmp_path / "ns"))
+    for n in (2, 3):
+        tables.replace_table(spark.range(n), "ns_switch.t", location=str(tmp_path / "t"))
+        assert spark.table("ns_switch.t").count() == n
+    tables.replace_table(spark.range(4).selectExpr("id AS other"), "ns_switch.t", location=str(tmp_path / "t"))
+    assert spark.table("ns_switch.t").columns == ["other"]
+    assert [t.name for t in spark.catalog.listTables("ns_switch")] == ["t"]
+    tables.drop_namespace(spark, "ns_switch")

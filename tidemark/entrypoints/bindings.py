@@ -67,6 +67,8 @@ TREND = Binding(
     ],
 )
 
+TREND_RANKS = Binding("events", [*TREND.columns, "CAST(event_id AS BIGINT) AS rank"])
+
 NEWS = Binding(
     "documents",
     [
@@ -203,11 +205,17 @@ SELECT period, CASE gender_code WHEN 'm' THEN 'male' ELSE 'female' END AS gender
 FROM {sql(TREND)} t WHERE age_code <> '1')"""
 
 
-def share_sql(where: str = "TRUE") -> str:
+MANY_LABELLED = f"""(
+SELECT period, CASE gender_code WHEN 'm' THEN 'male' ELSE 'female' END AS gender, {AGE_SQL} AS age_group,
+       concat(brand, CAST(rank % 18 AS VARCHAR)) AS brand, CASE WHEN rank % 7 <> 0 THEN ratio END AS ratio
+FROM {sql(TREND_RANKS)} t WHERE age_code <> '1')"""
+
+
+def share_sql(where: str = "TRUE", brands: list[str] = EVENT_BRANDS, relation: str = LABELLED) -> str:
     """Shares of the labelled trend rows that meet the condition."""
-    brands = ", ".join(f"('{b}')" for b in EVENT_BRANDS)
+    brands = ", ".join(f"('{b}')" for b in brands)
     return f"""(
-WITH l AS (SELECT * FROM {LABELLED} x WHERE {where}),
+WITH l AS (SELECT * FROM {relation} x WHERE {where}),
  cells AS (SELECT DISTINCT period, gender, age_group FROM l),
  sums AS (SELECT period, gender, age_group, brand, sum(ratio) AS v FROM l GROUP BY ALL),
  filled AS (SELECT c.period, c.gender, c.age_group, b.brand, coalesce(s.v, 0) AS v

@@ -32,17 +32,19 @@ def log_scan(spark, sf):
     return read_log_lines(spark, _log_files(spark, sf)).select("message", "service", "log_type")
 
 
+def _task_files(spark, sf):
+    """Log files of a thousand lines each, in the table's order."""
+    path = fresh_dir(spark, "logs")
+    per_task = b.log_lines(spark, sf).withColumn("task", F.floor(F.col("line_no") / 1000))
+    lines = per_task.groupBy("task").agg(F.array_sort(F.collect_list(F.struct("line_no", "message"))).alias("lines"))
+    lines.select("task", F.array_join("lines.message", "\n").alias("value")).write.partitionBy("task").text(path)
+    return path
+
+
 def log_line_numbers(spark, sf):
-    """Lines read back from text files, numbered without gaps per file, counted over all files."""
-    numbered = number_lines(read_log_lines(spark, _log_files(spark, sf)))
-    per_file = numbered.groupBy("file").agg(
-        F.count(F.lit(1)).alias("lines"), F.max("line_no").alias("last"), F.countDistinct("line_no").alias("numbers")
-    )
-    return per_file.agg(
-        F.sum("lines").alias("total_lines"),
-        F.sum(F.col("last") + 1).alias("total_last"),
-        F.sum("numbers").alias("total_numbers"),
-    )
+    """Lines read back from text files, with the numbers they have in their files."""
+    numbered = number_lines(read_log_lines(spark, _task_files(spark, sf)))
+    return numbered.select(F.regexp_extract("file", "task=([0-9]+)", 1).cast("bigint").alias("task"), "line_no", "message")
 
 
 def log_parse(spark, sf):
@@ -75,12 +77,8 @@ def log_stream_ingest(spark, sf):
 
 
 def log_stream_events(spark, sf):
-    """Log files as a stream, the lines of an event joined. Every file holds the lines of one task in order."""
-    path = fresh_dir(spark, "logs")
-    per_task = b.log_lines(spark, sf).withColumn("task", F.floor(F.col("line_no") / 1000))
-    lines = per_task.groupBy("task").agg(F.array_sort(F.collect_list(F.struct("line_no", "message"))).alias("lines"))
-    lines.select("task", F.array_join("lines.message", "\n").alias("value")).write.partitionBy("task").text(path)
-    return _streamed(spark, path, join_lines=True)
+    """Log files as a stream, the lines of an event joined."""
+    return _streamed(spark, _task_files(spark, sf), join_lines=True)
 
 
 def _streamed(spark, source, **options):
@@ -158,7 +156,7 @@ QUERIES = {
 
 ORACLE = {
     "log_scan": f"SELECT message, 'airflow' AS service, 'dag_logs' AS log_type FROM {LINES} r",
-    "log_line_numbers": "SELECT count(*) AS total_lines, count(*) AS total_last, count(*) AS total_numbers FROM events",
+    "log_line_numbers": f"SELECT CAST(line_no // 1000 AS BIGINT) AS task, line_no % 1000 AS line_no, message FROM {LINES} r",
     "log_drop_noise": f"SELECT * FROM {LINES} r WHERE {QUIET}",
     "log_multiline": f"SELECT * FROM {EVENTS} e",
     "log_multiline_literal": f"""SELECT file, CAST(0 AS BIGINT) AS first_line, CAST(floor(line_no / 500) AS BIGINT) AS part,

@@ -61,7 +61,7 @@ def scan_raw_snapshot(spark, sf):
 def scan_feature_csv(spark, sf):
     path = fresh_dir(spark, "csv")
     rows = features.channel_features(b.channels(spark, sf))
-    rows.write.option("header", True).csv(path)
+    files.as_csv(rows).csv(path)
     return snapshots.read_header_csv(spark, path, rows.schema)
 
 
@@ -78,7 +78,7 @@ def scan_catalog_table(spark, sf):
 
 
 def sql_table_sample(spark, sf):
-    return snapshots.table_sample(spark, _saved_channels(spark, sf, "channel_info"), ["channel_id"])
+    return snapshots.table_sample(spark, _saved_channels(spark, sf, "channel_info"), ["channel_id"], 1000)
 
 
 def describe_table(spark, sf):
@@ -114,7 +114,7 @@ def write_partitioned(spark, sf):
 def export_csv(spark, sf):
     path = fresh_dir(spark, "export")
     rows = features.channel_features(b.channels(spark, sf))
-    files.export_csv(rows, path, 1000, ["channel_id"])
+    files.export_csv(rows, path, rows=1000, keys=["channel_id"])
     return snapshots.read_header_csv(spark, path, rows.schema)
 
 
@@ -134,18 +134,51 @@ def publish_snapshot(spark, sf):
     return snapshots.read_raw(spark, target, b.RUN_DATE, b.FOLDER, "channel_info")
 
 
+def _medallion(spark, sf):
+    """Raw files through every table of the batch; the quality report and the training features."""
+    root = fresh_dir(spark, "lake")
+    tables_as = f"{b.FOLDER}_{root[-32:]}"
+    report = medallion.run_medallion(
+        spark, _landed(spark, sf), root, b.FOLDER, f"{root}/features", b.RUN_DATE, tables=tables_as
+    )
+    return report, spark.read.parquet(f"{root}/features")
+
+
 def run_medallion(spark, sf):
-    """Raw files to training features through every table of the batch."""
-    raw_root, root = _landed(spark, sf), fresh_dir(spark, "lake")
-    folder = f"{b.FOLDER}_{root[-32:]}"
-    # The landed folder keeps its name; tables are namespaced per run.
-    for table, (entity, clean) in medallion.BRONZE.items():
-        tables.create_namespace(spark, f"{folder}_bronze", f"{root}/bronze")
-        raw = snapshots.read_raw(spark, raw_root, b.RUN_DATE, b.FOLDER, entity)
-        tables.replace_table(clean(raw, b.RUN_DATE), f"{folder}_bronze.{table}", location=f"{root}/bronze/{table}")
-    medallion.bronze_to_silver(spark, root, folder, b.RUN_DATE)
-    medallion.silver_to_features(spark, folder, f"{root}/features", b.RUN_DATE)
-    return spark.read.parquet(f"{root}/features")
+    return _medallion(spark, sf)[1]
+
+
+def run_medallion_report(spark, sf):
+    return _medallion(spark, sf)[0]
+
+
+def _channels_with_faults(spark, sf):
+    """A tenth of the titles is missing."""
+    return _bronze_channels(spark, sf).withColumn(
+        "channel_title", F.when(F.col("video_count") % 10 != 0, F.col("channel_title"))
+    )
+
+
+def _videos_with_faults(spark, sf):
+    """Some videos come twice, with other counts."""
+    videos = _bronze_videos(spark, sf)
+    return videos.union(videos.where("like_count < 200").withColumn("view_count", F.col("view_count") + 1))
+
+
+def comments_csv(spark, sf):
+    """Texts with line breaks and quotes, as CSV and read back."""
+    path = fresh_dir(spark, "csv")
+    rows = b.comments(spark, sf).withColumn("comment_text", F.concat(F.lit(' "'), "comment_text", F.lit('",\r\n ')))
+    files.export_csv(rows, path, rows=None)
+    return snapshots.read_header_csv(spark, path, rows.schema)
+
+
+def videos_csv(spark, sf):
+    """Rows with an array, as Parquet and CSV; the CSV read back."""
+    root = fresh_dir(spark, "dump")
+    rows = b.videos(spark, sf)
+    files.dual_export(rows, f"{root}/parquet", f"{root}/csv", ["video_id"])
+    return snapshots.read_header_csv(spark, f"{root}/csv", files.flat(rows).schema)
 
 
 CHANNEL_COLUMNS = "channel_id, channel_title, subscriber_count, total_views, video_count"
@@ -174,6 +207,23 @@ FROM (SELECT count(*) AS total, count(*) FILTER (n > 1) AS dummy FROM (SELECT 1
      (SELECT count(*) AS dups FROM (SELECT {a} FROM {rel} q GROUP BY {a} HAVING count(*) > 1) g) d"""
 COMMENT_ID = "sha256(concat_ws('||', video_id, author, published_at, comment_text))"
 COMMENTS_WITH_ID = f"(SELECT *, {COMMENT_ID} AS comment_id FROM {b.BRONZE_COMMENTS} i)"
+FAULTY_CHANNELS = f"""(SELECT * REPLACE (CASE WHEN video_count % 10 <> 0 THEN channel_title END AS channel_title)
+FROM {b.BRONZE_CHANNELS} i)"""
+FAULTY_VIDEOS = f"""(SELECT * FROM {b.BRONZE_VIDEOS} i
+UNION ALL SELECT * REPLACE (view_count + 1 AS view_count) FROM {b.BRONZE_VIDEOS} i WHERE like_count < 200)"""
+
+
+def _report_sql(channels, videos):
+    return "\nUNION ALL\n".join(
+        QUALITY_SQL.format(table=t, a=a, c=c, rel=rel)
+        for t, a, c, rel in (
+            ("channel_info", "channel_id", "channel_title", channels),
+            ("video_info", "video_id", "title", videos),
+            ("comments_info", "comment_id", "comment_text", COMMENTS_WITH_ID),
+        )
+    )
+
+
 LINES_SQL = "(SELECT *, nullif(l_returnflag, 'A') AS flag FROM lineitem)"
 
 QUERIES = {
@@ -185,7 +235,9 @@ QUERIES = {
     "preview_topn": lambda s, d: snapshots.preview(b.channels(s, d), ["channel_id"], 20),
     "clean_strings": lambda s, d: cleaning.clean_strings(b.videos(s, d)),
     "drop_nulls_any": lambda s, d: cleaning.drop_nulls(cleaning.clean_strings(b.videos(s, d))),
-    "dedup_rows": lambda s, d: cleaning.dedup_rows(b.table(s, d, "lineitem").select("l_orderkey", "l_linenumber")),
+    "dedup_rows": lambda s, d: cleaning.dedup_rows(
+        b.table(s, d, "lineitem").union(b.table(s, d, "lineitem").where("l_orderkey % 2 = 0"))
+    ),
     "remove_outliers": lambda s, d: cleaning.remove_outliers(b.channels(s, d), COUNTERS),
     "remove_short_text": lambda s, d: cleaning.remove_short_text(
         b.comments(s, d), "comment_text", min_length=200
@@ -198,13 +250,16 @@ QUERIES = {
     "video_features": lambda s, d: features.video_features(_bronze_videos(s, d)),
     "comment_features": lambda s, d: features.comment_features(_bronze_comments(s, d), "tion|good"),
     "feature_join": _features,
-    "feature_join_salted": lambda s, d: _features(s, d, max_broadcast_rows=0),
+    "feature_join_salted": lambda s, d: _features(s, d, salted=True),
     "dq_row_count": lambda s, d: quality.row_count(b.table(s, d, "lineitem")),
     "dq_null_ratio": lambda s, d: quality.null_ratio(_lines_with_nulls(s, d), LINE_NULLS),
     "dq_duplicate_keys": lambda s, d: quality.duplicate_keys(b.table(s, d, "lineitem"), LINE_KEY),
     "quality_report": lambda s, d: quality.quality_report(
         _bronze_channels(s, d), _bronze_videos(s, d), _bronze_comments(s, d)
     ),
+    "quality_report_faults": lambda s, d: quality.quality_report(
+        _channels_with_faults(s, d), _videos_with_faults(s, d), _bronze_comments(s, d)
+    ),
     "comment_id_sha2": lambda s, d: quality.with_comment_id(b.comments(s, d)),
     "write_replace_table": write_replace_table,
     "write_partitioned": write_partitioned,
@@ -213,6 +268,9 @@ QUERIES = {
     "publish_snapshot": publish_snapshot,
     "describe_table": describe_table,
     "run_medallion": run_medallion,
+    "run_medallion_report": run_medallion_report,
+    "comments_csv": comments_csv,
+    "videos_csv": videos_csv,
 }
 
 ORACLE = {
@@ -230,7 +288,7 @@ FROM {b.sql(b.VIDEOS)} r WHERE year(CAST(published_at AS DATE)) = 1998""",
   array_to_string(tags, ',') AS tags) FROM {b.sql(b.VIDEOS)} r""",
     "drop_nulls_any": f"""SELECT * REPLACE (trim(title, ' ') AS title, trim(description, ' ') AS description,
   array_to_string(tags, ',') AS tags) FROM {b.sql(b.VIDEOS)} r WHERE description IS NOT NULL""",
-    "dedup_rows": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "dedup_rows": "SELECT DISTINCT * FROM lineitem",
     "remove_outliers": f"""SELECT * FROM {b.sql(b.CHANNELS)} r
 WHERE subscriber_count >= 0 AND total_views >= 0 AND video_count >= 0""",
     "remove_short_text": f"SELECT * FROM {b.sql(b.COMMENTS)} r WHERE length(comment_text) >= 200",
@@ -255,14 +313,12 @@ FROM (SELECT 'l_returnflag' AS column_name, count(*) FILTER (flag IS NULL) AS nu
   UNION ALL SELECT 'l_shipdate', count(*) FILTER (l_shipdate IS NULL), count(*) FROM {LINES_SQL} a) u""",
     "dq_duplicate_keys": """SELECT count(*) AS duplicate_keys FROM
   (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1) g""",
-    "quality_report": "\nUNION ALL\n".join(
-        QUALITY_SQL.format(table=t, a=a, c=c, rel=rel)
-        for t, a, c, rel in (
-            ("channel_info", "channel_id", "channel_title", b.BRONZE_CHANNELS),
-            ("video_info", "video_id", "title", b.BRONZE_VIDEOS),
-            ("comments_info", "comment_id", "comment_text", COMMENTS_WITH_ID),
-        )
-    ),
+    "quality_report": _report_sql(b.BRONZE_CHANNELS, b.BRONZE_VIDEOS),
+    "quality_report_faults": _report_sql(FAULTY_CHANNELS, FAULTY_VIDEOS),
+    "run_medallion_report": _report_sql(b.BRONZE_CHANNELS, b.BRONZE_VIDEOS),
+    "comments_csv": f"""SELECT * REPLACE (' "' || comment_text || '",' || chr(13) || chr(10) || ' ' AS comment_text)
+FROM {b.sql(b.COMMENTS)} r""",
+    "videos_csv": f"SELECT * REPLACE (array_to_string(tags, ',') AS tags) FROM {b.sql(b.VIDEOS)} r",
     "comment_id_sha2": f"SELECT *, {COMMENT_ID} AS comment_id FROM {b.sql(b.COMMENTS)} r",
     "write_replace_table": f"SELECT *, {b.D} AS feature_date FROM ({CHANNEL_FEATURES}) f",
     "write_partitioned": f"SELECT *, {b.D} AS feature_date FROM ({CHANNEL_FEATURES}) f",

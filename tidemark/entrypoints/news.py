@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from tidemark.entrypoints import bindings as b
@@ -61,7 +63,7 @@ def channel_json_flatten(spark, sf):
 
 
 def comments_json_flatten(spark, sf):
-    """Every document is a response whose lines are the comments; 30 of each are kept, as in the run."""
+    """Every document is a response whose lines are the comments."""
     snippet = lambda line: F.struct(
         F.struct(
             F.struct(
@@ -74,7 +76,7 @@ def comments_json_flatten(spark, sf):
     )
     items = F.transform(F.split("comment_text", "\n"), snippet)
     responses = b.comments(spark, sf).select("video_id", F.to_json(F.struct(items.alias("items"))).alias("response"))
-    return landing.flatten_comments(responses, 30)
+    return landing.flatten_comments(responses)
 
 
 def search_first_hit(spark, sf):
@@ -111,6 +113,7 @@ def news_parse(spark, sf):
 
 def news_read_day(spark, sf):
     path = fresh_dir(spark, "news")
+    write_by_day(b.news(spark, sf).where(F.col("source").endswith("1")), path, b.RUN_DATE - timedelta(days=1))
     write_by_day(b.news(spark, sf), path, b.RUN_DATE)
     return topics.read_news_day(spark, path, b.RUN_DATE, source_contains="src1")
 
@@ -157,8 +160,8 @@ QUERIES = {
     "keyword_filter": lambda s, d: ops.keyword_filter(b.news(s, d), **TERMS),
     "keyword_filter_both": lambda s, d: ops.keyword_filter(b.news(s, d), **TERMS, mode="and"),
     "keyword_semi_join": lambda s, d: ops.keyword_semi_join(b.news(s, d), ops.keyword_dim(s, *TERMS.values())),
-    "keyword_semi_join_blocks": lambda s, d: ops.keyword_semi_join(
-        b.news(s, d), ops.keyword_dim(s, *TERMS.values()), terms_per_block=50
+    "keyword_semi_join_grams": lambda s, d: ops.keyword_semi_join(
+        b.news(s, d), ops.keyword_dim(s, *TERMS.values()), max_pattern_terms=0
     ),
     "relevant_messages": lambda s, d: _as_messages(s, relevant_messages(_entries(s, d), **TERMS)),
     "news_parse": news_parse,
@@ -178,7 +181,7 @@ ORACLE = {
     "channel_json_flatten": f"""SELECT channel_id, channel_title,
   greatest(subscriber_count, 0) AS subscriber_count, total_views, CAST(0 AS BIGINT) AS video_count
 FROM {b.sql(b.CHANNELS)} r""",
-    "comments_json_flatten": f"""SELECT video_id, author, unnest(list_slice(string_split(comment_text, chr(10)), 1, 30))
+    "comments_json_flatten": f"""SELECT video_id, author, unnest(string_split(comment_text, chr(10)))
   AS comment_text, published_at, like_count FROM {b.sql(b.COMMENTS)} r""",
     "search_first_hit": f"""SELECT title, CASE WHEN description IS NOT NULL THEN video_id END AS video_id
 FROM {b.sql(b.VIDEOS)} r""",
@@ -187,7 +190,7 @@ FROM {b.sql(b.VIDEOS)} r""",
     "keyword_filter_both": f"""SELECT {NEWS_COLUMNS} FROM {WITH_CONTENT} c
 WHERE ({_any_of(TERMS["brands"])}) AND ({_any_of(TERMS["markets"])})""",
     "keyword_semi_join": RELEVANT,
-    "keyword_semi_join_blocks": RELEVANT,
+    "keyword_semi_join_grams": RELEVANT,
     "relevant_messages": f"""SELECT {ENTRY_COLUMNS} FROM {WITH_CONTENT} c WHERE {_any_of(ALL_TERMS)}""",
     "news_parse": f"""SELECT {", ".join(f"CASE WHEN NOT bad THEN {c} END AS {c}" for c in NEWS_COLUMNS.split(", "))},
   bad AS malformed FROM (SELECT *, title LIKE '%7' AS bad FROM {b.sql(b.NEWS)} r) m""",

@@ -20,6 +20,7 @@ from tidemark.workdir import fresh_dir
 LAST_LOADED = date(2024, 1, 20)
 RESTATED_FROM = date(2024, 1, 18)
 STAMP = datetime(2024, 2, 1)
+MANY_BRANDS = [f"{brand}{i}" for brand in b.EVENT_BRANDS for i in range(18)]
 
 
 def _labelled(spark, sf):
@@ -79,6 +80,22 @@ def share_incremental(spark, sf):
     return plans.read_share(spark, path).drop("updated_at")
 
 
+def share_first_run(spark, sf):
+    """An incremental load where there is no table yet: it starts with the default day."""
+    path = fresh_dir(spark, "share")
+    trend = b.trend(spark, sf)
+    for _ in range(2):
+        plans.incremental(spark, trend, path, b.RUN_DATE, b.EVENT_BRANDS, run_ts=STAMP)
+    return plans.read_share(spark, path).drop("updated_at")
+
+
+def _many_brands(spark, sf):
+    """Ninety brands, and ratios that are missing."""
+    brand = F.concat("brand", F.pmod(F.col("rank"), F.lit(18)).cast("string"))
+    rows = b.bind(spark, sf, b.TREND_RANKS).withColumn("brand", brand)
+    return plans.labelled(rows.withColumn("ratio", F.when(F.col("rank") % 7 != 0, F.col("ratio"))).drop("rank"))
+
+
 def share_table_upsert(spark, sf):
     """Restated shares into the stored table: touched days are rebuilt, the others stay as they are."""
     path = _loaded_table(spark, sf)
@@ -135,6 +152,8 @@ def ddl_roundtrip(spark, sf):
 ALL_SHARES = b.share_sql()
 LOADED_SHARES = b.share_sql("period <= DATE '2024-01-20'")
 LATER_SHARES = b.share_sql("period >= DATE '2024-01-18'")
+MANY_SHARES = b.share_sql(brands=MANY_BRANDS, relation=b.MANY_LABELLED)
+FIRST_SHARES = b.share_sql(f"period >= DATE '{FIRST_PERIOD}'")
 KEYS = "period, gender, age_group, brand"
 SAME_KEY = "t.period = s.period AND t.gender = s.gender AND t.age_group = s.age_group AND t.brand = s.brand"
 UPSERTED = f"""(
@@ -154,9 +173,12 @@ QUERIES = {
     "share_union_cells": lambda s, d: share_union_cells(s, d).withColumn("ratio", F.col("ratio").cast("double")),
     "share_zero_fill": lambda s, d: ops.zero_fill(_labelled(s, d), b.EVENT_BRANDS),
     "share_normalise": _shares,
+    "share_many_brands": lambda s, d: ops.normalise(_many_brands(s, d), MANY_BRANDS),
+    "share_many_brands_fill": lambda s, d: ops.zero_fill(_many_brands(s, d), [*MANY_BRANDS, *MANY_BRANDS[:3]]),
     "unknown_brands": lambda s, d: ops.unknown_brands(b.trend(s, d), ["view", "click"]),
     "share_full_refresh": share_full_refresh,
     "share_incremental": share_incremental,
+    "share_first_run": share_first_run,
     "share_table_upsert": share_table_upsert,
     "high_watermark": lambda s, d: relational.high_watermark(b.trend(s, d), date.fromisoformat(FIRST_PERIOD)),
     "latest_period_top1": lambda s, d: relational.latest_period(b.trend(s, d)),
@@ -178,10 +200,13 @@ FROM {b.sql(b.TREND)} t WHERE age_code <> '1'""",
   age_code, brand, ratio::DOUBLE AS ratio FROM {b.sql(b.TREND)} t""",
     "share_zero_fill": f"SELECT {KEYS}, value AS ratio FROM {ALL_SHARES} s",
     "share_normalise": f"SELECT {KEYS}, ratio FROM {ALL_SHARES} s",
+    "share_many_brands": f"SELECT {KEYS}, ratio FROM {MANY_SHARES} s",
+    "share_many_brands_fill": f"SELECT {KEYS}, value AS ratio FROM {MANY_SHARES} s",
     "unknown_brands": f"""SELECT brand, count(*) AS rows FROM {b.sql(b.TREND)} t
 WHERE brand NOT IN ('view', 'click') GROUP BY brand""",
     "share_full_refresh": f"SELECT {KEYS}, ratio FROM {ALL_SHARES} s",
     "share_incremental": f"SELECT {KEYS}, ratio FROM {ALL_SHARES} s",
+    "share_first_run": f"SELECT {KEYS}, ratio FROM {FIRST_SHARES} s",
     "share_table_upsert": f"SELECT * FROM {UPSERTED} u",
     "high_watermark": "SELECT CAST(max(ts) AS DATE) AS period FROM events",
     "latest_period_top1": "SELECT CAST(ts AS DATE) AS period FROM events ORDER BY ts DESC LIMIT 1",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.fixed_values import GENDER_LABELS, SENTIMENT_PATTERN
 
 # Enough digits for the service's ratios; sums stay exact whatever the row order.
-RATIO_TYPE = "decimal(18,8)"
+RATIO_TYPE = "decimal(28,8)"
 
 
 def number(column: str, kind: str = "bigint") -> Column:

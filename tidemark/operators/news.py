@@ -12,8 +12,10 @@ from tidemark.fixed_values import BRAND_TERMS, MARKET_TERMS
 from tidemark.functions import columns as c
 from tidemark.schemas import NEWS
 
-# Terms per broadcast block; a dictionary of any size is split into blocks of about this size.
-TERMS_PER_BLOCK = 5_000
+# Terms of one compiled pattern, terms that are compiled at all, and characters of a term that texts are looked up by.
+TERMS_PER_PATTERN = 5_000
+MAX_PATTERN_TERMS = 20_000
+GRAM = 3
 
 
 def content(title: str = "title", summary: str = "summary") -> Column:
@@ -45,25 +47,37 @@ def keyword_dim(spark: SparkSession, *term_lists: Sequence[str]) -> DataFrame:
 
 
 def keyword_semi_join(
-    news: DataFrame, dictionary: DataFrame, terms_per_block: int = TERMS_PER_BLOCK, term: str = "term"
+    news: DataFrame, dictionary: DataFrame, max_pattern_terms: int = MAX_PATTERN_TERMS, term: str = "term"
 ) -> DataFrame:
     """Rows whose content contains any dictionary term.
 
-    The dictionary is counted first. A small one is one broadcast semi join; a
-    larger one is cut into blocks that are each small enough to broadcast, all
-    tested in one pass over the news. No pair of row and term is ever produced.
+    The dictionary is counted first. A small one is compiled into patterns, each walked once per text. A larger one stays
+    a table: terms and texts meet on a gram, the first characters of a term, and a text is tested against the terms whose
+    gram it has. Neither way compares every text with every term.
     """
-    terms = dictionary.select(F.col(term).alias("_term")).distinct()
-    blocks = -(-terms.count() // terms_per_block)
-    text = news.withColumn("_content", content())
-    if blocks <= 1:
-        hits = text.join(F.broadcast(terms), F.contains("_content", "_term"), "left_semi")
-    else:
-        block = F.pmod(F.xxhash64("_term"), F.lit(blocks))
-        in_text = F.contains(F.col("_content").outer(), F.col("_term"))
-        tests = [F.broadcast(terms.where(block == i).where(in_text)).exists() for i in range(blocks)]
-        hits = text.where(reduce(lambda a, b: a | b, tests))
-    return hits.drop("_content")
+    terms = dictionary.select(F.col(term).alias("_term")).where(F.col("_term").isNotNull()).distinct()
+    if terms.count() <= max_pattern_terms:
+        found = sorted(row[0] for row in terms.collect())
+        blocks = [found[i : i + TERMS_PER_PATTERN] for i in range(0, len(found), TERMS_PER_PATTERN)]
+        return news.where(reduce(lambda a, b: a | b, [c.contains_any(content(), block) for block in blocks], F.lit(False)))
+    own = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in news.columns]
+    # Equal rows may share a number: they contain the same terms.
+    numbered = news.withColumn("_content", content()).withColumn("_row", F.struct(F.xxhash64(F.lit(1), *own), F.xxhash64(F.lit(2), *own)))
+    by_gram = terms.where(F.col("_term") != "").withColumn("_gram", F.substring("_term", 1, GRAM))
+    letters = F.split("_content", "")
+
+    def grams(n: int) -> Column:
+        long = F.transform(F.col("_letters"), lambda x, i: F.concat(x, *[F.get("_letters", i + k) for k in range(1, n)]))
+        return F.filter(long, lambda x: x.isNotNull())
+
+    every = F.array_distinct(F.concat(*[grams(n) for n in range(1, GRAM + 1)]))
+    of_text = numbered.select("_row", letters.alias("_letters")).select("_row", F.explode(every).alias("_gram"))
+    candidates = of_text.join(by_gram, "_gram").groupBy("_row").agg(F.collect_set("_term").alias("_terms"))
+    tested = numbered.join(candidates, "_row")
+    hits = tested.where(F.exists("_terms", lambda t: F.contains("_content", t))).select(*news.columns)
+    if terms.where(F.col("_term") == "").isEmpty():
+        return hits
+    return news.where(content().isNotNull())
 
 
 def to_messages(news: DataFrame) -> DataFrame:

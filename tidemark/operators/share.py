@@ -38,7 +38,15 @@ def map_age_groups(trend: DataFrame, groups: Mapping[str, Sequence[str]] = AGE_G
 
 
 def label_gender(trend: DataFrame) -> DataFrame:
-    return trend.withColumn("gender", c.gender_label(F.col("gender_code"))).drop("gender_code")
+    """Gender codes to labels; rows of unknown codes are left out, as they would have no key. See ``unknown_genders``."""
+    labelled = trend.withColumn("gender", c.gender_label(F.col("gender_code"))).drop("gender_code")
+    return labelled.where(F.col("gender").isNotNull())
+
+
+def unknown_genders(trend: DataFrame) -> DataFrame:
+    """Rows left out because their gender code is unknown or missing, counted per code."""
+    unknown = trend.where(c.gender_label(F.col("gender_code")).isNull())
+    return unknown.groupBy("gender_code").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def union_cells(parts: Sequence[DataFrame]) -> DataFrame:
@@ -53,26 +61,31 @@ def gender_part(trend: DataFrame, code: str) -> DataFrame:
 
 
 def unknown_brands(trend: DataFrame, brands: Sequence[str]) -> DataFrame:
-    """Rows left out because no brand group has that title, counted per title."""
-    return trend.where(~F.col("brand").isin(list(brands))).groupBy("brand").agg(F.count(F.lit(1)).alias("rows"))
+    """Rows left out because no brand group has that title (or they have none), counted per title."""
+    known = F.coalesce(F.col("brand").isin(list(brands)), F.lit(False))
+    return trend.where(~known).groupBy("brand").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _summed(trend: DataFrame, brands: Sequence[str]) -> DataFrame:
     """(cell, total, brand, value): every brand in every observed cell, 0 where it has no data."""
-    brands = list(brands)
-    known = trend.where(F.col("brand").isin(brands)).withColumn("ratio", F.col("ratio").cast(c.RATIO_TYPE))
+    brands = list(dict.fromkeys(brands))
+    known = trend.where(F.col("brand").isin(brands)).withColumn("ratio", F.col("ratio").try_cast(c.RATIO_TYPE))
     zero = F.lit(0).cast(c.RATIO_TYPE)
+    # One conditional sum per brand where the generated code stays small, else a sum per brand, gathered per cell:
+    # the same numbers from one exchange or two. Ratios that are missing count as 0 in both.
     if len(brands) <= MAX_WIDE_BRANDS:
         wide = known.groupBy(*CELL).agg(
-            F.sum("ratio").alias("total"),
-            *[F.sum(F.when(F.col("brand") == b, F.col("ratio")).otherwise(zero)).alias(f"b{i}") for i, b in enumerate(brands)],
+            F.coalesce(F.sum("ratio"), zero).alias("total"),
+            *[
+                F.sum(F.when(F.col("brand") == b, F.coalesce("ratio", zero)).otherwise(zero)).alias(f"b{i}")
+                for i, b in enumerate(brands)
+            ],
         )
         filled = F.array(
             *[F.struct(F.lit(b).alias("brand"), F.col(f"b{i}").alias("value")) for i, b in enumerate(brands)]
         )
         return wide.select(*CELL, "total", F.inline(filled))
-    # Many brands: sum per brand first, then gather the (at most one per brand) sums of a cell.
-    sums = known.groupBy(*CELL, "brand").agg(F.sum("ratio").alias("value"))
+    sums = known.groupBy(*CELL, "brand").agg(F.coalesce(F.sum("ratio"), zero).alias("value"))
     cells = sums.groupBy(*CELL).agg(
         F.sum("value").alias("total"),
         F.map_from_entries(F.collect_list(F.struct("brand", "value"))).alias("values"),

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Whether the frame has at most that many rows; a table's own count comes from file footers."""
-    return df.count() <= max_rows
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's size; it takes no job and rather over- than underestimates."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
@@ -36,7 +36,7 @@ def salted_left_join(
     spread = left.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, salt).otherwise(none))
     every = F.sequence(none, F.lit(salts - 1).cast("bigint"))
     copies = right.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(none))))
-    return spread.join(copies, [key, "_salt"], "left").drop("_salt")
+    return spread.join(copies.hint("merge"), [key, "_salt"], "left").drop("_salt")
 
 
 def left_join(
@@ -44,13 +44,28 @@ def left_join(
     right: DataFrame,
     key: str,
     spread_by: Sequence[str],
-    max_broadcast_rows: int = 200_000,
-    hot_share: float = 0.01,
+    salted: bool | None = None,
+    hot_share: float | None = None,
     salts: int | None = None,
 ) -> DataFrame:
-    """Broadcasts the right side when its row count is checked to be small, else joins salted."""
-    if fits_broadcast(right, max_broadcast_rows):
-        return left.join(F.broadcast(right), key, "left")
-    if salts is None:
-        salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return salted_left_join(left, right, key, hot_keys(left, key, hot_share), spread_by, salts)
+    """A plain join where the right side may be broadcast by its estimated bytes, else a salted one.
+
+    Nothing is counted and no broadcast is forced: below its threshold Spark broadcasts, and replans by the real size. A
+    key is hot if it holds more than an even share of the shuffle partitions.
+    """
+    conf = left.sparkSession.conf
+    partitions = int(conf.get("spark.sql.shuffle.partitions"))
+    if salted is None:
+        limit = _bytes(conf.get("spark.sql.autoBroadcastJoinThreshold"))
+        salted = limit < 0 or estimated_bytes(right) > limit
+    if not salted:
+        return left.join(right, key, "left")
+    share = hot_share or max(1e-4, 1 / partitions)
+    return salted_left_join(left, right, key, hot_keys(left, key, share), spread_by, salts or partitions)
+
+
+def _bytes(text: str) -> int:
+    """A size setting like 52428800, 50m or 256KB."""
+    number = text.lower().rstrip("b")
+    units = {"k": 10, "m": 20, "g": 30, "t": 40}
+    return int(number[:-1]) << units[number[-1]] if number[-1:] in units else int(number)

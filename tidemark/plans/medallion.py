@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators import cleaning, features, quality
 from tidemark.sinks.files import export_csv, write_partitioned
 from tidemark.sinks.tables import create_namespace, replace_table
-from tidemark.sources.snapshots import read_raw, read_table, table_sample
+from tidemark.sources.snapshots import read_raw, read_table
 
 BRONZE = {
     "channel_info": ("channel_info", cleaning.bronze_channels),
@@ -24,10 +24,16 @@ SILVER = {
 
 
 def raw_to_bronze(
-    spark: SparkSession, raw_root: str, table_root: str, folder: str, run_date: date, fmt: str = "parquet"
+    spark: SparkSession,
+    raw_root: str,
+    table_root: str,
+    folder: str,
+    run_date: date,
+    fmt: str = "parquet",
+    tables: str | None = None,
 ) -> str:
-    """Writes the three bronze tables and returns their namespace."""
-    namespace = f"{folder}_bronze"
+    """Writes the three bronze tables and returns their namespace, named after the folder or ``tables``."""
+    namespace = f"{tables or folder}_bronze"
     create_namespace(spark, namespace, f"{table_root}/{namespace}")
     for table, (entity, clean) in BRONZE.items():
         raw = read_raw(spark, raw_root, run_date, folder, entity)
@@ -59,24 +65,24 @@ def silver_to_features(spark: SparkSession, folder: str, feature_path: str, run_
     write_partitioned(features.training_features(videos, channels, run_date, **options), feature_path)
 
 
-def export_silver(spark: SparkSession, folder: str, table: str, keys: list[str], path: str, rows: int = 1000) -> None:
-    """The first rows of a silver table as exchange CSV."""
-    export_csv(table_sample(spark, f"{folder}_silver.{table}", keys, rows), path, rows, keys)
+def export_silver(spark: SparkSession, folder: str, table: str, keys: list[str], path: str, rows: int | None) -> None:
+    """A silver table as exchange CSV: the first ``rows`` in key order, or all of them (None)."""
+    export_csv(read_table(spark, f"{folder}_silver.{table}"), path, rows=rows, keys=keys)
 
 
 def write_standard_record(spark: SparkSession, path: str) -> None:
-    export_csv(features.standard_record(spark), path)
+    export_csv(features.standard_record(spark), path, rows=None)
 
 
 def run_medallion(
     spark: SparkSession, raw_root: str, table_root: str, folder: str, feature_path: str, run_date: date,
-    fmt: str = "parquet", min_rows: int = quality.MIN_ROWS, fail_on_issue: bool = False,
+    fmt: str = "parquet", min_rows: int = quality.MIN_ROWS, fail_on_issue: bool = False, tables: str | None = None,
 ) -> DataFrame:
-    """The whole batch; returns the quality report."""
-    raw_to_bronze(spark, raw_root, table_root, folder, run_date, fmt)
-    report = validate_bronze(spark, folder, min_rows)
+    """The whole batch; returns the quality report. Namespaces are named after the folder or ``tables``."""
+    raw_to_bronze(spark, raw_root, table_root, folder, run_date, fmt, tables)
+    report = validate_bronze(spark, tables or folder, min_rows)
     if fail_on_issue:
         quality.require_pass(report)
-    bronze_to_silver(spark, table_root, folder, run_date, fmt)
-    silver_to_features(spark, folder, feature_path, run_date)
+    bronze_to_silver(spark, table_root, tables or folder, run_date, fmt)
+    silver_to_features(spark, tables or folder, feature_path, run_date)
     return report

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from tidemark.operators.merge import new_rows, upsert_by_key
 from tidemark.schemas import RAW
-from tidemark.workdir import fresh_dir
+from tidemark.workdir import drop_folder, fresh_dir
 
 
 def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -47,22 +48,44 @@ def write_partitioned(
         raise ValueError("mode must be 'replace' or 'append'")
 
 
-def export_csv(df: DataFrame, path: str, rows: int = 1000, keys: Sequence[str] = ()) -> None:
-    """One header CSV of the first rows; a single task is enough for a bounded sample."""
-    sample = df.orderBy(*keys).limit(rows) if keys else df.limit(rows)
-    sample.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def as_csv(df: DataFrame) -> DataFrameWriter:
+    """A header CSV writer whose files ``read_header_csv`` reads back: quotes are doubled and line breaks stay inside quotes."""
+    whole = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return df.write.mode("overwrite").options(header=True, quote='"', escape='"', **whole)
 
 
-def dual_export(df: DataFrame, parquet_path: str, csv_path: str) -> bool:
-    """The same rows as Parquet and as CSV; nothing is written for an empty table.
+def flat(df: DataFrame, separator: str = ",") -> DataFrame:
+    """Array columns as one text each, which is all a CSV can hold."""
+    joined = {f.name: F.array_join(f.name, separator) for f in df.schema.fields if isinstance(f.dataType, ArrayType)}
+    return df.withColumns(joined) if joined else df
 
-    The CSV is made from the written Parquet, so the rows are computed only once.
+
+def export_csv(df: DataFrame, path: str, *, rows: int | None, keys: Sequence[str] = ()) -> None:
+    """Header CSV of the first ``rows`` in key order as one file, or of all rows (None) as many.
+
+    A limit needs keys: without an order it would be another sample each time.
+    """
+    if rows is None:
+        as_csv(flat(df.orderBy(*keys) if keys else df)).csv(path)
+        return
+    if not keys:
+        raise ValueError("a limited export needs keys")
+    # A single task is enough for a bounded sample.
+    as_csv(flat(df.orderBy(*keys).limit(rows).coalesce(1))).csv(path)
+
+
+def dual_export(df: DataFrame, parquet_path: str, csv_path: str, keys: Sequence[str] = ()) -> bool:
+    """The same rows as Parquet and as CSV; nothing is left behind for an empty table.
+
+    The CSV is made from the written Parquet, so the rows are computed only once. With ``keys`` it is put in their order
+    again, as files are read back in the order of their sizes.
     """
-    if df.isEmpty():
-        return False
     df.write.mode("overwrite").parquet(parquet_path)
     written = df.sparkSession.read.schema(df.schema).parquet(parquet_path)
-    written.write.mode("overwrite").option("header", True).csv(csv_path)
+    if written.isEmpty():
+        drop_folder(df.sparkSession, parquet_path)
+        return False
+    as_csv(flat(written.orderBy(*keys) if keys else written)).csv(csv_path)
     return True
 
 
@@ -88,15 +111,27 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``staged`` rows that are deleted when the work that needs them is done or has failed."""
+    path = fresh_dir(df.sparkSession, label)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        drop_folder(df.sparkSession, path)
+
+
 def _touched(spark: SparkSession, path: str, source: DataFrame, by: str) -> DataFrame | None:
-    """The target's partitions the source has rows for, or None when it has no rows; the others are never read.
+    """The rows of the target's partitions that the source has rows for, or None when it has no rows.
 
-    The driver holds one value per touched partition, as it does for any partitioned read.
+    The driver sees the first and the last touched value only: they prune the listing, and a semi join does the rest.
     """
-    values = [row[0] for row in source.select(by).distinct().collect()]
-    if not values:
+    low, high = source.agg(F.min(by), F.max(by)).first()
+    if low is None:
         return None
-    return spark.read.schema(source.schema).parquet(path).where(F.col(by).isin(values))
+    target = spark.read.schema(source.schema).parquet(path).where(F.col(by).between(low, high))
+    return target.join(source.select(by).distinct(), by, "left_semi").select(*source.columns)
 
 
 def append_new(
@@ -111,10 +146,10 @@ def append_new(
 
     A run that is repeated after a failure finds what it already wrote.
     """
-    rows = staged(source, "append")
-    target = _touched(spark, path, rows, by)
-    if target is not None:
-        write_partitioned(new_rows(target, rows, keys, order_by), path, [by], mode="append", gather=True)
+    with staging(source, "append") as rows:
+        target = _touched(spark, path, rows, by)
+        if target is not None:
+            write_partitioned(new_rows(target, rows, keys, order_by), path, [by], mode="append", gather=True)
 
 
 def upsert_partitions(
@@ -130,11 +165,11 @@ def upsert_partitions(
     Only touched partitions are rebuilt. They are completed in a folder of their own
     first, so no partition is overwritten while it is being read.
     """
-    rows = staged(source, "upsert-source")
-    target = _touched(spark, path, rows, by)
-    if target is not None:
-        merged = staged(upsert_by_key(target, rows, keys, order_by), "upsert")
-        write_partitioned(merged, path, [by], gather=True)
+    with staging(source, "upsert-source") as rows:
+        target = _touched(spark, path, rows, by)
+        if target is not None:
+            with staging(upsert_by_key(target, rows, keys, order_by), "upsert") as merged:
+                write_partitioned(merged, path, [by], gather=True)
 
 
 def write_by_day(df: DataFrame, path: str, run_date: date | None = None, by: str = "ingest_date") -> None:

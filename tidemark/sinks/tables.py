@@ -21,8 +21,10 @@ def create_namespace(spark: SparkSession, namespace: str, location: str | None =
 def replace_table(df: DataFrame, name: str, fmt: str = "parquet", location: str | None = None) -> None:
     """Create-or-replace.
 
-    Formats without a replacing commit get a new folder per version; the name is
-    pointed at it only when it is complete, so a lost job leaves the old version.
+    Formats without a replacing commit get a new folder per version; the name is pointed
+    at it only when it is complete, in one step if the columns are the same. Else the old
+    table is renamed until the new one has its name, so a lost job leaves one of them, in
+    the worst moment under ``<name>_before`` from where the next run goes on.
     """
     if fmt in REPLACING_FORMATS:
         writer = df.writeTo(name).using(fmt)
@@ -35,16 +37,29 @@ def replace_table(df: DataFrame, name: str, fmt: str = "parquet", location: str
     version = f"{location}/v-{uuid.uuid4().hex}"
     df.write.format(fmt).save(version)
     spark = df.sparkSession
-    # The tables are external: dropping the name deletes no data.
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{version}'")
+    before, after = f"{name}_before", f"{name}_after"
+    # The tables are external: dropping a name deletes no data.
+    if not table_exists(spark, name):
+        spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{version}'")
+    elif [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
+    else:
+        drop_tables(spark, [before, after])
+        spark.sql(f"CREATE TABLE {after} USING {fmt} LOCATION '{version}'")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {before}")
+        spark.sql(f"ALTER TABLE {after} RENAME TO {name}")
+    drop_tables(spark, [before])
 
 
 def merge_table(source: DataFrame, name: str, keys: Sequence[str], update: bool = True) -> None:
     """Upsert (or insert-if-absent) into a table whose format has ``MERGE``."""
     view = f"merge_source_{uuid.uuid4().hex}"
     source.createOrReplaceTempView(view)
-    source.sparkSession.sql(merge_statement(name, view, keys, update))
+    try:
+        source.sparkSession.sql(merge_statement(name, view, keys, update))
+    finally:
+        source.sparkSession.catalog.dropTempView(view)
 
 
 def create_share_table(spark: SparkSession, name: str, fmt: str = "parquet", location: str | None = None) -> None:

@@ -27,14 +27,14 @@ def _first_item(responses: DataFrame, key: str, name: str, schema: str, json: st
 
 
 def flatten_trend(responses: DataFrame, json: str = "response") -> DataFrame:
-    """(…request columns…, period, brand, ratio), one row per brand and day."""
+    """(…request columns…, period, brand, ratio), one row per brand and day; a period that is no date is null."""
     request = [c for c in responses.columns if c != json]
     return (
         responses.select(*request, F.explode(F.from_json(json, TREND_RESPONSE)["results"]).alias("group"))
         .select(*request, F.col("group.title").alias("brand"), F.explode("group.data").alias("entry"))
         .select(
             *request,
-            F.to_date("entry.period").alias("period"),
+            F.try_to_date("entry.period").alias("period"),
             "brand",
             F.col("entry.ratio").alias("ratio"),
         )
@@ -68,9 +68,9 @@ def flatten_channels(responses: DataFrame, channel_id: str = "channel_id", json:
 
 
 def flatten_comments(
-    responses: DataFrame, max_results: int | None = 50, video_id: str = "video_id", json: str = "response"
+    responses: DataFrame, max_results: int | None = None, video_id: str = "video_id", json: str = "response"
 ) -> DataFrame:
-    """One row per top-level comment, at most ``max_results`` of each response."""
+    """One row per top-level comment: all that landed, or the first ``max_results`` of each response."""
     items = F.from_json(json, COMMENT_RESPONSE)["items"]
     if max_results is not None:
         items = F.slice(items, 1, max_results)

@@ -32,8 +32,12 @@ def read_raw(
 
 
 def read_header_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Header CSV; every column is a string unless a schema says otherwise."""
-    reader = spark.read.option("header", True)
+    """Header CSV with quoted texts, line breaks included; every column is a string unless a schema says otherwise.
+
+    A file with line breaks in its texts can't be split, so exports of many rows are written as many files. Quoted empty
+    texts stay empty; nothing between two commas is null.
+    """
+    reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"', emptyValue="", nullValue="\u0001")
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
@@ -42,7 +46,7 @@ def read_table(spark: SparkSession, name: str, fmt: str | None = None) -> DataFr
     return spark.read.format(fmt).load(name) if fmt else spark.table(name)
 
 
-def table_sample(spark: SparkSession, name: str, keys: Sequence[str], rows: int = 1000) -> DataFrame:
+def table_sample(spark: SparkSession, name: str, keys: Sequence[str], rows: int) -> DataFrame:
     """The first rows of a table in key order, asked for in SQL."""
     order = ", ".join(f"`{k}`" for k in keys)
     return spark.sql(f"SELECT * FROM {name} ORDER BY {order} LIMIT {int(rows)}")

@@ -28,3 +28,38 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder if it is there."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
+def swap_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Puts a complete new folder in the place of another.
+
+    The old one is moved aside before and deleted after. A job lost in between leaves both complete, the old one under
+    ``<path>.old-…``; running it again mends that.
+    """
+    system, place = _file_system(spark, path)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.old-{uuid.uuid4().hex}")
+    there = system.exists(place)
+    if there and not system.rename(place, old):
+        raise OSError(f"{path} could not be moved aside")
+    if not system.rename(spark._jvm.org.apache.hadoop.fs.Path(new), place):
+        if there:
+            system.rename(old, place)
+        raise OSError(f"{new} could not be moved to {path}")
+    if there:
+        system.delete(old, True)
