@@ -38,14 +38,14 @@ LENGTH = 4096
 BLOCK = 64
 QUEUES = 256
 #: Words remembered per Python worker.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 CACHE_LENGTH = 64
 #: Bytes of text in a row of the token table, unless a single document is longer.
 ROW_BYTES = 8 << 20
 
 
 class WordCoder:
-    """Ids of texts by a tokenizer that drops white space: words are coded one by one and remembered."""
+    """Ids of texts by a tokenizer that drops white space: words are coded once and remembered."""
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,26 +53,45 @@ class WordCoder:
         self.tokenizer.encode_special_tokens = True
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[bytes, bytes] = {}
+        # A character that is one token by itself parts new words, so that many are coded in one call.
+        alone = ((c, self._ids(c)) for c in "`^~|")
+        self.mark, self.mark_id = next(((c, ids[0]) for c, ids in alone if len(ids) == 1), (None, -1))
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as packed numbers of ``kind``."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
         # The tokenizer lower-cases; doing so for A-Z first means fewer words, but must not come before a combining mark.
         words = [(t if b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
+        here = {w for ws in words for w in ws}
+        if len(self.known) > CACHE_WORDS:
+            # What these texts use goes on being remembered: most of it is frequent.
+            self.known = {w: self.known[w] for w in here if w in self.known}
         known = self.known
-        new = [w for w in {w for ws in words for w in ws} if w not in known]
-        for i in range(0, len(new), 2048):
-            some = new[i : i + 2048]
-            coded = self.tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)
-            for word, encoding in zip(some, coded, strict=True):
-                known[word] = np.array(encoding.ids, self.kind).tobytes()
+        new = [w for w in here if w not in known]
+        for i in range(0, len(new), 4096):
+            known.update(self._coded(new[i : i + 4096]))
         packed = [b"".join([known[w] for w in ws]) for ws in words]
         for word in new:
             if len(word) > CACHE_LENGTH:
                 del known[word]
         return packed
 
+    def _coded(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        own = [w for w in words if self.mark is None or self.mark.encode() in w]
+        joint = [w for w in words if self.mark is not None and self.mark.encode() not in w]
+        if joint:
+            ids = np.array(self._ids(f" {self.mark} ".join(w.decode() for w in joint)), self.kind)
+            marks = np.flatnonzero(ids == self.mark_id).tolist()
+            if len(marks) == len(joint) - 1:
+                for word, a, b in zip(joint, [0, *(m + 1 for m in marks)], [*marks, len(ids)], strict=True):
+                    yield word, ids[a:b].tobytes()
+            else:
+                own = words
+        for word in own:
+            yield word, np.array(self._ids(word.decode()), self.kind).tobytes()
+
 
 @lru_cache(maxsize=2)
 def _coder(definition: str) -> WordCoder:
