@@ -88,6 +88,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_suffix_dedup": r"""
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+ h AS (SELECT doc_id, unnest(range(1, n - 98)) AS i,
+              unnest(list_transform(range(1, n - 98), lambda k: md5(substr(x, 2 * k - 1, 200)))) AS h FROM b WHERE n >= 100),
+ f AS (SELECT h, min(doc_id * 4294967296 + i) AS first_place FROM h GROUP BY h),
+ g AS (SELECT doc_id, i FROM h JOIN f USING (h) WHERE first_place < doc_id * 4294967296 + i),
+ marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM g),
+ numbered AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+ runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 99 AS z FROM numbered GROUP BY doc_id, run),
+ parts AS (SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS s, a - 1 AS e FROM runs
+           UNION ALL SELECT b.doc_id, coalesce(max(z), 0) + 1, any_value(n) FROM b LEFT JOIN runs USING (doc_id) GROUP BY b.doc_id),
+ kept AS (SELECT doc_id, string_agg(substr(x, 2 * s - 1, 2 * (e - s + 1)), '' ORDER BY s) AS x
+          FROM parts JOIN b USING (doc_id) GROUP BY doc_id),
+ sums AS (SELECT doc_id, count(*) AS n_spans, sum(z - a + 1) AS n_removed FROM runs GROUP BY doc_id)
+SELECT b.doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(kept.x)) AS kept_sha256
+FROM b JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)""",
+    "op3_block_anchors": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+ h AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i,
+              unnest(list_transform(range(1, len(ws) - 48), lambda k: md5(array_to_string(ws[k:k + 49], ' ')))) AS h
+       FROM w WHERE len(ws) >= 50),
+ f AS (SELECT h, min(doc_id) AS first_id FROM h GROUP BY h),
+ gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS pos FROM h JOIN f USING (h) WHERE first_id < doc_id),
+ words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n
+          FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""",
+    "op4_odd_sketch": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+ s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')] ELSE
+              list_distinct(list_transform(range(1, len(ws) - 2), lambda k: array_to_string(ws[k:k + 3], ' '))) END AS sh FROM w),
+ u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+ pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id
+           GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+ near AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+ reach(doc_id, other) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, n.b FROM reach r JOIN near n ON r.other = n.a)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, min(other) AS component_id, s.doc_id = min(other) AS kept
+FROM s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, sh""",
     "op5_warc_salvage": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
  d AS (SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM p),
