@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +41,27 @@ def ranked_id(name: str) -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(LAST_ID))
 
 
+@contextmanager
+def _batch_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """Bounds Arrow batches for what is run inside, and puts the session's setting back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back, so that later steps don't recompute them.
 
-    The table lies under ``spark.checkpoint.dir``; a lost executor costs a re-read, never a re-run.
+    The table lies under ``spark.checkpoint.dir``; a lost executor costs a re-read, never a re-run. Batches that go to
+    Python and back are kept small meanwhile, as several are held at a time on both sides.
     """
     path = fresh_dir(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with _batch_bytes(df.sparkSession, 16 << 20):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,9 +6,9 @@ odd sketch: a bitmap in which every sample flips one bit. The exclusive-or of tw
 samples differ in, so its population count tells highly similar pairs precisely from others. What passes is confirmed on
 the full sets: 100 * intersection >= 80 * union.
 
-Large buckets don't give all pairs. First every member is compared with the bucket's smallest id only; the links found
-join most members. Then members of a bucket are compared across components that are still apart, until no bucket has an
-unseen pair: two members that are joined already need no link of their own.
+Large buckets don't give all pairs. For a few turns every member is compared with one centre of its buckets only; the links
+found join most members. Then members of a bucket are compared across the components that are still apart, so that no
+bucket has an unseen pair: two members that are joined already need no link of their own.
 
 Samples suffice to miss a pair at the threshold with a probability below 1e-7.
 
@@ -40,6 +40,8 @@ THRESHOLD = 80
 #: A pair goes to confirmation if its sketches differ in no more bits: what similarity 0.5 leaves on average, about six
 #: deviations from what 0.8 does. Of d samples that differ 2 * d bits are flipped, some twice.
 MOST_BITS = int(SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - 0.5) / SKETCH_BITS)))
+#: Turns of comparing with centres.
+TURNS = 3
 #: Rows without an id stand in the graph under numbers from here on.
 NO_ID = 1 << 62
 #: Ids that a broadcast may hold (8 bytes each); beyond it the join shuffles.
@@ -192,41 +194,61 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, staged(representatives, "representatives")
 
 
-def links(docs: DataFrame, representatives: DataFrame) -> DataFrame:
-    """Labels (doc_id, component) of all representatives that are linked with another."""
-    banded = representatives.select("doc_id", F.explode("bands").alias("band"))
-    # Buckets with company, and their smallest member. Map-side combined, so a full bucket is no burden.
-    centres = banded.groupBy("band").agg(F.min("doc_id").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = staged(banded.join(centres.select("band", "centre"), "band"), "buckets")
-    facts = representatives.select("doc_id", "n_shingles", "sketch")
-    stars = shared.where("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
+def _similar(pairs: DataFrame, facts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The confirmed ones of candidate pairs, whose sizes and sketches are looked at first."""
     near = (
-        stars.join(facts.select(F.col("doc_id").alias("a"), F.struct("n_shingles", "sketch").alias("x")), "a")
+        pairs.join(facts.select(F.col("doc_id").alias("a"), F.struct("n_shingles", "sketch").alias("x")), "a")
         .join(facts.select(F.col("doc_id").alias("b"), F.struct("n_shingles", "sketch").alias("y")), "b")
         .where(_alike("x", "y"))
         .select("a", "b")
     )
-    edges = staged(confirmed(staged(near, "stars"), docs), "edges")
-    labels = components(edges)
-    # Members of one bucket in different components: each pair once, and none that was compared as a star.
-    placed = (
-        shared.join(labels.withColumnRenamed("component", "label"), "doc_id", "left")
-        .join(facts, "doc_id")
-        .select("band", "doc_id", F.coalesce("label", "doc_id").alias("label"), "n_shingles", "sketch", "centre")
-    )
-    placed = staged(placed, "placed")
-    apart = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_ = staged(placed.join(apart.select("band"), "band", "left_semi"), "apart")
+    return staged(confirmed(staged(near, "near"), docs), "edges")
+
+
+def links(docs: DataFrame, representatives: DataFrame) -> DataFrame:
+    """Labels (doc_id, component) of all representatives that are linked with another."""
+    banded = representatives.select("doc_id", F.posexplode("bands").alias("no", "band"))
+    # Buckets with company. Map-side combined, so a full bucket is no burden.
+    company = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+    shared = staged(banded.join(company, "band"), "buckets")
+    facts = representatives.select("doc_id", "n_shingles", "sketch")
+    edges = None
+    placed = shared.withColumn("label", F.col("doc_id"))
+    for turn in range(TURNS):
+        # Each bucket has a centre, another one each turn; each member is compared with one centre of its buckets.
+        rank = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
+        centre = F.min(F.struct(rank.alias("rank"), "doc_id", "label")).alias("c")
+        centres = placed.groupBy("band").agg(centre, F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        one = F.min(F.struct("c.rank", "c.doc_id")).alias("c")
+        stars = placed.join(centres.select("band", "c"), "band").where("label <> c.label").groupBy("doc_id").agg(one)
+        pairs = stars.select(F.least("doc_id", "c.doc_id").alias("a"), F.greatest("doc_id", "c.doc_id").alias("b")).distinct()
+        found = _similar(pairs, facts, docs)
+        if found.isEmpty():
+            continue
+        edges = found if edges is None else edges.union(found)
+        placed = staged(_labelled(shared, components(edges)), "placed")
+    # What is left is compared in full: in every bucket the members outside its largest component with all others. A pair
+    # meets in the first of its common buckets only.
+    counts = placed.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.groupBy("band").agg(F.max_by("label", "n").alias("largest"), F.count(F.lit(1)).alias("labels"))
+    open_ = placed.join(largest.where("labels > 1").select("band", "largest"), "band")
+    open_ = staged(open_.join(representatives.select("doc_id", "n_shingles", "sketch", "bands"), "doc_id"), "open")
+    first = "array_position(zip_with(x.bands, y.bands, (p, q) -> p = q), true) = x.no + 1"
+    apart = "x.band = y.band AND x.label <> y.label AND (y.label = y.largest OR x.doc_id < y.doc_id)"
     across = (
-        open_.alias("x")
-        .join(open_.alias("y"), F.expr("x.band = y.band AND x.doc_id < y.doc_id AND x.label <> y.label AND x.doc_id <> x.centre AND " + _alike("x", "y")))
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-        .distinct()
+        open_.where("label <> largest").alias("x")
+        .join(open_.alias("y"), F.expr(f"{apart} AND {_alike('x', 'y')} AND {first}"))
+        .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
     )
-    more = staged(confirmed(staged(across, "across"), docs), "edges")
-    if more.isEmpty():
-        return labels
-    return components(edges.union(more))
+    found = staged(confirmed(staged(across, "across"), docs), "edges")
+    edges = found if edges is None else edges.union(found)
+    return components(edges)
+
+
+def _labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets with their component, which is their own id as long as they have no link."""
+    known = labels.withColumnRenamed("component", "label")
+    return shared.join(known, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
