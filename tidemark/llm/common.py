@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.workdir import fresh_dir
+from tidemark.workdir import drop_folder, fresh_dir
 
 #: Rank of a null id: after every other one.
 LAST_ID = 2**63 - 1
@@ -62,7 +62,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     with _batch_bytes(df.sparkSession, 16 << 20):
         df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    again = df.sparkSession.read.schema(df.schema).parquet(path)
+    again.staged_path = path
+    return again
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Deletes staged tables that nothing reads any more: what was made of them is staged, too."""
+    for table in tables:
+        if table is not None and getattr(table, "staged_path", None):
+            drop_folder(table.sparkSession, table.staged_path)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import discard, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -38,10 +38,12 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         small = staged(small, "small-star")
-        changed = small.exceptAll(links).isEmpty() and links.exceptAll(small).isEmpty()
+        same = small.exceptAll(links).isEmpty() and links.exceptAll(small).isEmpty()
+        discard(large, links)
         links = small
-        if changed:
+        if same:
             break
-    return links.select("node", F.col("low").alias("component")).union(
-        links.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct()
-    ).select(F.col("node").alias("doc_id"), "component")
+    heads = links.select(F.col("low").alias("doc_id"), F.col("low").alias("component")).distinct()
+    found = links.select(F.col("node").alias("doc_id"), F.col("low").alias("component")).union(heads)
+    found.staged_path = links.staged_path
+    return found

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bytes_of, mix, staged
+from tidemark.llm.common import bytes_of, discard, mix, staged
 from tidemark.llm.components import components
 from tidemark.llm.words import LOWER, rolling, word_hashes
 
@@ -160,12 +160,11 @@ def _alike(a: str, b: str) -> str:
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are similar. Only texts in some pair are read again."""
+    """Those of the staged pairs (a, b) whose full sets are similar, staged. Only texts in some pair are read again."""
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     wanted = staged(wanted, "candidates")
-    if wanted.count() <= FEW_IDS:
-        wanted = F.broadcast(wanted)
-    sets = staged(_full_sets(docs.join(wanted, "doc_id", "left_semi")), "sets")
+    few = F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted
+    sets = staged(_full_sets(docs.join(few, "doc_id", "left_semi")), "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,7 +180,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
         .select("a", "b", "set_a", "set_b")
     )
-    return joined.mapInArrow(run, "a long, b long")
+    found = staged(joined.mapInArrow(run, "a long, b long"), "edges")
+    discard(wanted, sets, pairs)
+    return found
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -202,7 +203,7 @@ def _similar(pairs: DataFrame, facts: DataFrame, docs: DataFrame) -> DataFrame:
         .where(_alike("x", "y"))
         .select("a", "b")
     )
-    return staged(confirmed(staged(near, "near"), docs), "edges")
+    return confirmed(staged(near, "near"), docs)
 
 
 def links(docs: DataFrame, representatives: DataFrame) -> DataFrame:
@@ -226,7 +227,9 @@ def links(docs: DataFrame, representatives: DataFrame) -> DataFrame:
         if found.isEmpty():
             continue
         edges = found if edges is None else edges.union(found)
-        placed = staged(_labelled(shared, components(edges)), "placed")
+        labels = components(edges)
+        before, placed = placed, staged(_labelled(shared, labels), "placed")
+        discard(before, labels)
     # What is left is compared in full: in every bucket the members outside its largest component with all others. A pair
     # meets in the first of its common buckets only.
     counts = placed.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -240,7 +243,8 @@ def links(docs: DataFrame, representatives: DataFrame) -> DataFrame:
         .join(open_.alias("y"), F.expr(f"{apart} AND {_alike('x', 'y')} AND {first}"))
         .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
     )
-    found = staged(confirmed(staged(across, "across"), docs), "edges")
+    found = confirmed(staged(across, "across"), docs)
+    discard(open_)
     edges = found if edges is None else edges.union(found)
     return components(edges)
 
