@@ -32,7 +32,7 @@ def brute(rows):
 
 @pytest.mark.parametrize("size", [8 << 20, 3000])
 def test_equals_brute_force(frame, rows, corpus, monkeypatch, size):
-    monkeypatch.setattr(block_anchors, "chunked", lambda d, i, t, f=block_anchors.chunked: f(d, i, t, size))
+    monkeypatch.setattr(block_anchors, "chunked", lambda d, i, t, keep, f=block_anchors.chunked: f(d, i, t, size, keep))
     got = rows(block_anchors.remove_repeats(frame(corpus, "doc_id long, text string")))
     assert got == brute(corpus)
     assert sum(r[2] for r in got) > 5_000
@@ -74,3 +74,28 @@ def test_documents_end_words():
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     hashes, words = word_hashes(LOWER[np.frombuffer(b"".join(texts), np.uint8)], offsets)
     assert words.tolist() == [0, 1, 1, 3, 3, 4] and hashes[0] == hashes[3]
+
+
+@pytest.mark.parametrize("size", [8 << 20, 3000])
+def test_documents_keep_their_columns(frame, corpus, monkeypatch, size):
+    monkeypatch.setattr(block_anchors, "chunked", lambda d, i, t, keep, f=block_anchors.chunked: f(d, i, t, size, keep))
+    docs = frame([(i, t, [k, None], {"k": k}) for k, (i, t) in enumerate(corpus)], "doc_id long, text string, tags array<int>, m map<string, int>")
+    cut = block_anchors.cut_documents(docs)
+    assert cut.dtypes == [*docs.dtypes, ("words_removed", "bigint")]
+    given = {r["m"]["k"]: r for r in docs.collect()}
+    want = sorted((r[0], r[1], r[2], r[3]) for r in ((repr(x[0]), *x[1:]) for x in brute(corpus)))
+    got = []
+    for r in cut.collect():
+        before = given[r["m"]["k"]]
+        if not r["words_removed"]:
+            assert r["text"] == before["text"]
+        assert [r[c] for c in docs.columns if c != "text"] == [before[c] for c in docs.columns if c != "text"]
+        words = len(WORD.findall((before["text"] or "").encode()))
+        kept = b" ".join(WORD.findall((r["text"] or "").encode()))
+        got.append((repr(r["doc_id"]), words, r["words_removed"], hashlib.sha256(kept).hexdigest()))
+    assert sorted(got) == want and any(r[2] for r in want)
+
+
+def test_no_documents_with_columns(frame):
+    docs = frame([], "doc_id long, text string")
+    assert block_anchors.cut_documents(docs).collect() == []

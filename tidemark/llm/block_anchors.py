@@ -5,7 +5,7 @@ A repeat of WINDOW = 2 * BLOCK words holds at least one whole block of the earli
 one hits it. Hits are extended: the windows of WINDOW words around a block and around the probes that hit it are
 compared, and the run of windows that also start in a document with a smaller id is the maximal exact repeat.
 
-Probes travel as five bytes of hash and a place, packed by chunk and bucket; what equals an earlier place of the same
+Probes travel as four bytes of hash and a place, packed by chunk and bucket; what equals an earlier place of the same
 chunk is answered there. No task gathers pairs: a bucket keeps the smallest id for each hash.
 
 Defined results: a null text has no words. A null id ranks after all others; documents of equal (or no) id don't remove
@@ -20,7 +20,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.llm.chunks import (
     PACKED_DDL,
@@ -42,6 +44,9 @@ from tidemark.llm.words import rolling, within, word_hashes
 
 BLOCK = 25
 WINDOW = 2 * BLOCK
+#: Bytes of a block's hash that travel; with the bucket they leave a few chance hits in a million, which extension refuses.
+HASH_BYTES = 4
+HASH = f"u{HASH_BYTES}"
 #: Text worked on at a time.
 STEP = 1 << 19
 
@@ -79,7 +84,7 @@ def _send_blocks(buckets: int):
                 for bucket, some in by_bucket(hashes[at] % np.uint64(buckets), buckets):
                     own, first = at[some], block[some]
                     # The bucket is known, so the hash travels without what gave it.
-                    h = low_bytes(hashes[own] // np.uint64(buckets), 5)
+                    h = low_bytes(hashes[own] // np.uint64(buckets), HASH_BYTES)
                     if first.any():
                         out.append((bucket, key, "block", pack(h[first], _gaps(own[first]), chunk.ids[row[some][first]].astype("<i8"))))
                     if not first.all():
@@ -98,8 +103,8 @@ def _find_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = ("bucket", "chunk", "kind")
         for bucket, key, kind, payload in zip(*(batch.column(c).to_pylist() for c in names), batch.column("payload"), strict=True):
-            columns = unpack(payload.as_py(), *(("u5", "u4", "i8") if kind == "block" else ("u5", "u4")))
-            columns[0] = columns[0] | np.uint64(bucket << 40)
+            columns = unpack(payload.as_py(), *((HASH, "u4", "i8") if kind == "block" else (HASH, "u4")))
+            columns[0] = columns[0].astype(np.uint64) | np.uint64(bucket << 8 * HASH_BYTES)
             columns[1] = np.cumsum(columns[1], dtype=np.int64)
             parts[kind].append((key, columns))
     if not parts["block"]:
@@ -211,41 +216,47 @@ def _find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield packed([(0, key, "run", _runs(own))])
 
 
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: Column | None = None) -> DataFrame:
     """The documents as chunks, answered by runs of windows to remove."""
     buckets = shuffle_width(docs.sparkSession)
-    chunks = chunked(docs, id_col, text_col)
-    hits = dealt(chunks.mapInArrow(_send_blocks(buckets), PACKED_DDL)).mapInArrow(_find_hits, PACKED_DDL)
+    chunks = chunked(docs, id_col, text_col, keep=keep)
+    bare = chunks.drop("rest")
+    hits = dealt(bare.mapInArrow(_send_blocks(buckets), PACKED_DDL)).mapInArrow(_find_hits, PACKED_DDL)
     asked = with_answers(chunks, hits).mapInArrow(_send_windows(buckets), PACKED_DDL)
     return with_answers(chunks, dealt(asked).mapInArrow(_find_runs, PACKED_DDL))
 
 
+def _cut(chunk: Chunk, answers: list[bytes]) -> Iterator[tuple[bytes, list[bytes], list[tuple[int, int]], list[bytes]]]:
+    """Text, words, removed spans of words and kept words of every document of an answered chunk."""
+    runs = [unpack(a, *RUN) for a in answers] or [[np.zeros(0, "<u4")] * 2]
+    first, n = (np.concatenate(x).astype(np.int64) for x in zip(*runs, strict=True))
+    order = np.argsort(first, kind="stable")
+    first, end = first[order], (first + n + WINDOW - 1)[order]
+    before = 0
+    for i in range(len(chunk)):
+        text = chunk.data[chunk.offsets[i] : chunk.offsets[i + 1]].tobytes()
+        words = text.split()
+        a, b = np.searchsorted(first, [before, before + len(words)])
+        spans = list(zip(*(z.tolist() for z in spans_of(first[a:b] - before, end[a:b] - before)), strict=True))
+        before += len(words)
+        kept, at = [], 0
+        for x, y in spans:
+            kept += words[at:x]
+            at = y
+        yield text, words, spans, kept + words[at:]
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document.
 
-    With ``texts`` also the removed spans of words, ``kept`` (words joined by one space) and ``input_sha256``, the digest
-    of the whole text, by which rows of equal ids are told apart.
+    With ``texts`` also the removed spans of words and ``kept``, the words that stay, joined by one space.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_by_one(batches):
             for _, chunk, answers in opened(batch):
-                runs = [unpack(a, *RUN) for a in answers] or [[np.zeros(0, "<u4")] * 2]
-                first, n = (np.concatenate(x).astype(np.int64) for x in zip(*runs, strict=True))
-                order = np.argsort(first, kind="stable")
-                first, end = first[order], (first + n + WINDOW - 1)[order]
-                rows, before = [], 0
-                for i in range(len(chunk)):
-                    text = chunk.data[chunk.offsets[i] : chunk.offsets[i + 1]].tobytes()
-                    words = text.split()
-                    a, b = np.searchsorted(first, [before, before + len(words)])
-                    spans = [(x, y) for x, y in zip(*(z.tolist() for z in spans_of(first[a:b] - before, end[a:b] - before)), strict=True)]
-                    before += len(words)
-                    kept, at = [], 0
-                    for x, y in spans:
-                        kept += words[at:x]
-                        at = y
-                    kept += words[at:]
+                rows = []
+                for i, (_, words, spans, kept) in enumerate(_cut(chunk, answers)):
                     joined = b" ".join(kept)
                     row = {
                         "doc_id": int(chunk.ids[i]) if chunk.known[i] else None,
@@ -254,8 +265,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         "kept_sha256": hashlib.sha256(joined).hexdigest(),
                     }
                     if texts:
-                        row |= {"starts": [x for x, _ in spans], "ends": [y for _, y in spans]}
-                        row |= {"kept": joined.decode(), "input_sha256": hashlib.sha256(text).hexdigest()}
+                        row |= {"starts": [x for x, _ in spans], "ends": [y for _, y in spans], "kept": joined.decode()}
                     rows.append(row)
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
@@ -263,6 +273,38 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kinds += [("kept_sha256", pa.string(), "string")]
     if texts:
         kinds += [("starts", pa.list_(pa.int64()), "array<long>"), ("ends", pa.list_(pa.int64()), "array<long>")]
-        kinds += [("kept", pa.string(), "string"), ("input_sha256", pa.string(), "string")]
+        kinds += [("kept", pa.string(), "string")]
     schema = pa.schema([(n, t) for n, t, _ in kinds])
     return repeated_runs(docs, id_col, text_col).mapInArrow(run, ", ".join(f"{n} {t}" for n, _, t in kinds))
+
+
+def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of the documents with the repeats taken out of their texts, and ``words_removed``.
+
+    Texts without repeats stay as they are, others become their kept words, joined by one space.
+    """
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in one_by_one(batches):
+            for _, chunk, answers in opened(batch):
+                rest = chunk.rest().combine_chunks()
+                texts, gone = [], []
+                for null, (text, words, _, kept) in zip(rest.column(0).to_pylist(), _cut(chunk, answers), strict=True):
+                    gone.append(len(words) - len(kept))
+                    texts.append(None if null else (b" ".join(kept) if gone[-1] else text).decode())
+                ids = pa.array(chunk.ids, pa.int64(), mask=~chunk.known)
+                kept_columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in rest.columns[1:]]
+                kept_columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in kept_columns]
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(texts, pa.string()), pa.array(gone, pa.int64()), *kept_columns],
+                    ["_id", "_text", "words_removed", *(f"_{i}" for i in range(len(others)))],
+                )
+
+    null = F.col(text_col).isNull().alias("null")
+    keep = F.struct(null, *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(others)])
+    schema = StructType([StructField("_id", LongType()), StructField("_text", StringType()), StructField("words_removed", LongType())])
+    schema = StructType([*schema, *(StructField(f"_{i}", docs.schema[c].dataType) for i, c in enumerate(others))])
+    found = repeated_runs(docs, id_col, text_col, keep).mapInArrow(run, schema)
+    place = {id_col: "_id", text_col: "_text"} | {c: f"_{i}" for i, c in enumerate(others)}
+    return found.select(*[F.col(place[c]).alias(c) for c in docs.columns], "words_removed")

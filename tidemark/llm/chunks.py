@@ -13,23 +13,31 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import LAST_ID, bytes_of, shuffle_width, staged
 
 #: Bytes of text in a chunk, unless a single document is longer.
 CHUNK_BYTES = 8 << 20
+#: Compression of chunks, which are written and shuffled.
+LEVEL = 3
 
 PACKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa.string()), ("payload", pa.binary())])
 PACKED_DDL = "bucket int, chunk long, kind string, payload binary"
 
 
 class Chunk:
-    """The documents of a chunk: ids (a missing one ranks last), which ids are known, and all bytes with n + 1 offsets."""
+    """The documents of a chunk.
 
-    def __init__(self, ids: np.ndarray, known: np.ndarray, offsets: np.ndarray, data: np.ndarray):
-        self.ids, self.known, self.offsets, self.data = ids, known, offsets, data
+    ids (a missing one ranks last), which ids are known, all bytes with n + 1 offsets, and the columns that were kept.
+    """
+
+    def __init__(self, ids: np.ndarray, known: np.ndarray, offsets: np.ndarray, data: np.ndarray, rest: bytes | None = None):
+        self.ids, self.known, self.offsets, self.data, self._rest = ids, known, offsets, data, rest
+
+    def rest(self) -> pa.Table:
+        return pa.ipc.open_stream(self._rest).read_all()
 
     def __len__(self) -> int:
         return len(self.ids)
@@ -44,14 +52,26 @@ class Chunk:
             start = end
 
 
-def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = CHUNK_BYTES) -> DataFrame:
-    """The documents as chunks in the shared folder; a null text is empty."""
+def chunked(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = CHUNK_BYTES, keep: Column | None = None
+) -> DataFrame:
+    """The documents as chunks in the shared folder; a null text is empty. ``keep``: a struct that goes along."""
+    keeps = keep is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         base = (context.partitionId() if context else 0) << 32
-        press = zstandard.ZstdCompressor(level=1)
-        ids, known, sizes, parts, held, n = [], [], [], [], 0, 0
+        press = zstandard.ZstdCompressor(level=LEVEL)
+        ids, known, sizes, parts, rest, held, n = [], [], [], [], [], 0, 0
+
+        def others() -> bytes | None:
+            if not keeps:
+                return None
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, rest[0].schema) as stream:
+                for part in rest:
+                    stream.write_batch(part)
+            return press.compress(out.getvalue())
 
         def block() -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict(
@@ -61,6 +81,7 @@ def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
                     "known": [np.packbits(np.concatenate(known)).tobytes()],
                     "sizes": [np.concatenate(sizes).tobytes()],
                     "body": [press.compress(b"".join(parts))],
+                    "rest": pa.array([others()], pa.binary()),
                 }
             )
 
@@ -77,16 +98,19 @@ def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
                 known.append(there[start:end])
                 sizes.append(np.diff(offsets[start : end + 1]))
                 parts.append(data[offsets[start] : offsets[end]].tobytes())
+                if keeps:
+                    rest.append(pa.RecordBatch.from_struct_array(batch.column("rest").slice(start, end - start)))
                 held += len(parts[-1])
                 start = end
                 if held >= size or len(ids) >= 4096 or start < len(values):
                     yield block()
-                    ids, known, sizes, parts, held, n = [], [], [], [], 0, n + 1
+                    ids, known, sizes, parts, rest, held, n = [], [], [], [], [], 0, n + 1
         if ids:
             yield block()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return staged(rows.mapInArrow(run, "chunk long, ids binary, known binary, sizes binary, body binary"), "chunks")
+    columns = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")]
+    rows = docs.select(*columns, *([] if keep is None else [keep.alias("rest")]))
+    return staged(rows.mapInArrow(run, "chunk long, ids binary, known binary, sizes binary, body binary, rest binary"), "chunks")
 
 
 def opened(batch: pa.RecordBatch) -> Iterator[tuple[int, Chunk, list[bytes]]]:
@@ -100,7 +124,8 @@ def opened(batch: pa.RecordBatch) -> Iterator[tuple[int, Chunk, list[bytes]]]:
         offsets = np.concatenate([[0], np.cumsum(np.frombuffer(get("sizes"), np.int64))])
         data = np.frombuffer(unpress.decompress(get("body")), np.uint8)
         answers = (get("answers") or []) if "answers" in names else []
-        yield batch.column("chunk")[i].as_py(), Chunk(ids, known, offsets, data), answers
+        rest = get("rest") if "rest" in names else None
+        yield batch.column("chunk")[i].as_py(), Chunk(ids, known, offsets, data, rest and unpress.decompress(rest)), answers
 
 
 def dealt(rows: DataFrame) -> DataFrame:
