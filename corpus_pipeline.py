@@ -52,13 +52,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes passages that a document with a smaller id has, too, out of the texts; others stay as they are."""
     importable(spark)
-    found = block_anchors.remove_repeats(docs, texts=True).where("n_removed > 0")
-    found = found.select("doc_id", F.unhex("input_sha256").alias("digest"), "kept").distinct()
-    rows = docs.withColumn("_digest", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
-    joined = rows.join(found.withColumnRenamed("doc_id", "_id"), F.expr("doc_id <=> _id AND _digest = digest"), "left")
+    cut = block_anchors.cut_documents(docs)
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.coalesce(F.char_length("kept").cast("long"), "n_chars"))
-    return joined.withColumn("text", F.coalesce("kept", "text")).select(*docs.columns)
+        shorter = F.char_length("text").cast("long")
+        cut = cut.withColumn("n_chars", F.when(F.col("words_removed") > 0, shorter).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
