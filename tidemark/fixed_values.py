@@ -85,3 +85,9 @@ FIRST_PERIOD = "2024-01-01"
 
 # Positive-sentiment pattern of the comment features.
 SENTIMENT_PATTERN = "good|great|nice|awesome|👍"
+
+# Texts of the quality report.
+REPORT_NONE = "없음"
+REPORT_DUPLICATES = "%d건 중복"
+REPORT_TOO_FEW = "%d건 < {min_rows} 기준"
+REPORT_ENOUGH = "충족"

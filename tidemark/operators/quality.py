@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.fixed_values import REPORT_DUPLICATES, REPORT_ENOUGH, REPORT_NONE, REPORT_TOO_FEW
 from tidemark.functions.columns import row_digest
 
 MAX_NULL_RATIO = 0.05
@@ -82,13 +83,14 @@ def quality_row(
             for i, name in enumerate(null_columns)
         ],
     )
+    too_few = REPORT_TOO_FEW.format(min_rows=min_rows)
     failed = (null_issues != "") | (dups > 0) | (total < min_rows)
     return totals.select(
         F.lit(table).alias("table_name"),
         F.when(failed, "FAIL").otherwise("PASS").alias("status"),
-        F.when(null_issues != "", null_issues).otherwise("없음").alias("null_issues"),
-        F.when(dups > 0, F.format_string("%d건 중복", dups)).otherwise("없음").alias("dup_issues"),
-        F.when(total < min_rows, F.format_string(f"%d건 < {min_rows} 기준", total)).otherwise("충족").alias("row_issue"),
+        F.when(null_issues != "", null_issues).otherwise(REPORT_NONE).alias("null_issues"),
+        F.when(dups > 0, F.format_string(REPORT_DUPLICATES, dups)).otherwise(REPORT_NONE).alias("dup_issues"),
+        F.when(total < min_rows, F.format_string(too_few, total)).otherwise(REPORT_ENOUGH).alias("row_issue"),
     )
 
 
