@@ -40,8 +40,9 @@ THRESHOLD = 80
 #: A pair goes to confirmation if its sketches differ in no more bits: what similarity 0.5 leaves on average, about six
 #: deviations from what 0.8 does. Of d samples that differ 2 * d bits are flipped, some twice.
 MOST_BITS = int(SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - 0.5) / SKETCH_BITS)))
-#: Turns of comparing with centres.
+#: Turns of comparing with centres, and the size up to which a bucket with members apart is left to the full comparison.
 TURNS = 3
+SMALL = 64
 #: Rows without an id stand in the graph under numbers from here on.
 NO_ID = 1 << 62
 #: Ids that a broadcast may hold (8 bytes each); beyond it the join shuffles.
@@ -210,16 +211,25 @@ def links(docs: DataFrame, representatives: DataFrame) -> DataFrame:
     """Labels (doc_id, component) of all representatives that are linked with another."""
     banded = representatives.select("doc_id", F.posexplode("bands").alias("no", "band"))
     # Buckets with company. Map-side combined, so a full bucket is no burden.
-    company = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    shared = staged(banded.join(company, "band"), "buckets")
+    company = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowded = staged(banded.join(company, "band"), "crowded")
+    # Of documents that others were made from, more bands are common: they have most company over all their buckets.
+    weight = crowded.groupBy("doc_id").agg(F.sum("n").alias("weight"))
+    shared = staged(crowded.join(weight, "doc_id").select("band", "no", "doc_id", "weight"), "buckets")
+    discard(crowded)
     facts = representatives.select("doc_id", "n_shingles", "sketch")
     edges = None
     placed = shared.withColumn("label", F.col("doc_id"))
     for turn in range(TURNS):
-        # Each bucket has a centre, another one each turn; each member is compared with one centre of its buckets.
-        rank = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
+        # Each bucket has a centre, first the member with most company, then others; each member is compared with one
+        # centre of its buckets.
+        rank = -F.col("weight") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
         centre = F.min(F.struct(rank.alias("rank"), "doc_id", "label")).alias("c")
-        centres = placed.groupBy("band").agg(centre, F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        spread = (F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+        centres = placed.groupBy("band").agg(centre, *spread).where("low < high")
+        # Small buckets need no centres: what follows compares their members in full anyway.
+        if (centres.agg(F.max("n")).first()[0] or 0) <= SMALL:
+            break
         one = F.min(F.struct("c.rank", "c.doc_id")).alias("c")
         stars = placed.join(centres.select("band", "c"), "band").where("label <> c.label").groupBy("doc_id").agg(one)
         pairs = stars.select(F.least("doc_id", "c.doc_id").alias("a"), F.greatest("doc_id", "c.doc_id").alias("b")).distinct()
