@@ -4,7 +4,7 @@ from itertools import combinations
 
 import numpy as np
 
-from tidemark.llm.subsequence_extract import best_run, extract, extract_pages, weights_from
+from tidemark.llm.subsequence_extract import best_run, count_kinds, extract, extract_pages, weights_from
 
 BODY = "<p>" + "word " * 60 + "</p><p>More &amp; text&nbsp;here <a href=x>link</a> tail.</p><ul><li>one</li><li>two</li></ul>"
 TEXT = "word " * 59 + "word\nMore & text here link tail.\none\ntwo"
@@ -89,3 +89,45 @@ def test_tables(frame, rows):
     got = rows(extract_pages(frame(data, "page_id long, url string, html string")))
     assert got == sorted([(1, "u", "a b", 3), (1, "u", "a b", 3), (2, None, "", 0), (None, "v", "c d", 3)], key=repr)
     assert extract_pages(frame([], "page_id long, url string, html string")).collect() == []
+
+
+def prose_page(body, head="<html><body><nav><a href=x>home</a></nav>"):
+    return f"{head}{body}<footer>foot words here</footer></body></html>"
+
+
+def learned():
+    """Weights learned from pages that name their region."""
+    total = {}
+    for n in range(20):
+        body = f"<h1>Head {n}</h1>{BODY}"
+        page = prose_page(f"<div class=ad>Buy {n}</div><article>{body}</article><div class=comments><p>nice post</p></div>")
+        for counted, inside in zip(count_kinds(page), (True, False), strict=True):
+            for kind, n_kind in counted.items():
+                total[kind, inside] = total.get((kind, inside), 0) + n_kind
+    return weights_from(total)
+
+
+def test_articles_that_are_not_the_main_text():
+    text = f"<div class=content><h1>Title</h1>{BODY}</div>"
+    remark = "<article class=comment-body><p>great post, thanks for it</p></article>"
+    card = "<article class=card><h3><a href=x>Another story</a></h3><p>what it is about in a few words</p></article>"
+    pages = [text + 5 * remark, text + f"<div id=comments>{5 * remark}</div>", text + card, text + 4 * card, 4 * card + text, card + text + card]
+    for weights in ({}, learned()):
+        for page in pages:
+            assert extract(prose_page(page), weights) == "Title\n" + TEXT, page
+        assert extract(prose_page(f"<article><h1>Title</h1>{BODY}</article>{4 * card}"), weights) == "Title\n" + TEXT
+
+
+def test_learned_weights_decide_inside_the_named_region_and_without_one():
+    page = prose_page("<div><p>" + "word " * 60 + "</p></div>")
+    assert extract(page, {}) == ("word " * 60).strip()
+    assert extract(page, {"word:p+": -1.0}) == ""
+    # A link list within the region is cut off where learned weights say so.
+    page = prose_page("<main><p>" + "word " * 60 + "</p><ul>" + "<li><a href=x>one two</a></li>" * 30 + "</ul></main>")
+    assert extract(page, {"word:a": -6.0, "open:li": -1.0}) == ("word " * 60).strip()
+
+
+def test_remarks_do_not_unname_the_region():
+    page = prose_page(f"<article>{BODY}</article><article class=comment><p>nice</p></article>")
+    assert count_kinds(page) is not None
+    assert count_kinds(prose_page(f"<div>{BODY}{BODY}</div><article><p>a teaser</p></article>")) is None

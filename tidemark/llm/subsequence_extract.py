@@ -3,8 +3,10 @@
 A page becomes a sequence of words and tags. Words score positive and tags negative, each by the log-odds that its kind
 lies inside the main text, learned from labelled pages: those whose markup names the main region (one article or main
 element). One linear scan finds the contiguous run with the largest sum; its words, block by block, are the text.
-Elements that never hold article text (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-reader comments) score strongly negative and are left out where the run contains them.
+Article and main elements are evidence added to the weights of words, for or against by the share of the page's prose they
+hold: teasers and remarks beside a longer text count against themselves. Elements that never hold article text (menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) score by a learned negative weight
+and are left out where the run contains them.
 
 Defined results: a null or empty page has an empty text; so has a page without words that score positive. Of several
 equally good runs the first counts. Pages are independent, so repeated rows give repeated results and very long pages
@@ -39,7 +41,8 @@ PROSE = frozenset(
     "p b i em strong u s small sub sup mark q cite abbr time br span a h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote "
     "pre code kbd samp figure figcaption img table thead tbody tr td th caption".split()
 )
-REGIONS = frozenset("article main section div td body".split())
+CONTAINERS = frozenset("html body main article section div center address fieldset form".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HINT = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|side-?bar|aside|menu|"
     r"nav\w*|footer|masthead|site-?header|page-?header|comments?|replies|respond|disqus|social|share|sharing|related|"
@@ -60,7 +63,10 @@ ATTRIBUTE = re.compile(r"([\w-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 SAMPLE_PAGES = 2_000
 #: Pseudo-tokens per kind, which hold the weight of rare kinds near their prior.
 PRIOR = 4.0
-OUTSIDE = -8.0
+#: Weight of what a region the page names says of a word, against at most 3 of its kind.
+EVIDENCE = 4.0
+#: Words from which on a text is long.
+LONG = 10
 
 
 def _flagged(name: str, attrs: str, inside: bool) -> bool:
@@ -78,48 +84,56 @@ def _flagged(name: str, attrs: str, inside: bool) -> bool:
     return bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs, re.I))
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
-    """kind, text, whether inside an excluded element, whether inside the labelled region; in page order.
+def tokens(page: str) -> tuple[list[tuple[str, str]], list[tuple[str, int, int]]]:
+    """Kind and text of the page's tokens, and marked elements: what they are, their first token and the one after the last.
 
-    kind is ``word:`` and the closest region element (``word:a`` in a link), ``open:``/``close:`` and a tag's name.
+    kind is ``word:`` and the closest block element (``word:a`` in a link, ``word:box`` straight in a container), with a
+    ``+`` for LONG texts, or ``open:``/``close:`` and a tag's name. No kind tells how a page names its containers, so what
+    some pages teach holds on all. Elements are marked as ``never`` and ``region`` (article, main).
     """
-    stack: list[tuple[str, bool]] = []
-    excluded = labelled = links = header = 0
-    region = ["body"]
+    stack: list[tuple[str, bool, list[list]]] = []
+    found: list[tuple[str, str]] = []
+    marks: list[list] = []
+    links = header = headings = regions = 0
+    blocks = ["body"]
     at = 0
 
-    def text(piece: str) -> Iterator[tuple[str, str, bool, bool]]:
+    def text(piece: str) -> None:
         if piece:
-            if header and not any(re.fullmatch(r"h[1-6]", n) for n, _ in stack):
-                yield "word:header", piece, True, labelled > 0
+            if header and not headings:
+                marks.append(["never", len(found), len(found) + 1])
+            if links:
+                found.append(("word:a", piece))
             else:
-                kind = "word:a" if links else f"word:{region[-1]}"
-                yield kind, piece, excluded > 0, labelled > 0
+                kind = "box" if blocks[-1] in CONTAINERS else blocks[-1]
+                found.append((f"word:{kind}{'+' if _words(piece) >= LONG else ''}", piece))
 
     def pop() -> None:
-        nonlocal excluded, labelled, links, header
-        name, bad = stack.pop()
-        excluded -= bad
-        labelled -= name in ("article", "main")
+        nonlocal links, header, headings, regions
+        name, bad, own = stack.pop()
+        for mark in own:
+            mark[2] = len(found)
+        regions -= name in ("article", "main")
         links -= name == "a"
+        headings -= name in HEADINGS
         header -= name == "header" and not bad
-        if name in REGIONS:
-            region.pop()
+        if name in BLOCKS:
+            blocks.pop()
 
     for match in TOKEN.finditer(page):
-        yield from text(page[at : match.start()])
+        text(page[at : match.start()])
         at = match.end()
         name = (match["name"] or "").lower()
         if not name:
             continue
         if match["end"]:
-            if any(n == name for n, _ in stack):
+            if any(n == name for n, _, _ in stack):
                 while stack[-1][0] != name:
                     pop()
-                yield f"close:{name}", name, excluded > 0, labelled > 0
+                found.append((f"close:{name}", name))
                 pop()
             elif name == "p":
-                yield "close:p", name, excluded > 0, labelled > 0
+                found.append(("close:p", name))
             continue
         # A new block ends an open paragraph, a new item the open item.
         if stack and stack[-1][0] == "a" and name == "a":
@@ -133,38 +147,87 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                     break
                 if open_name in BLOCKS:
                     break
-        bad = _flagged(name, match["attrs"], labelled > 0)
         if name not in VOID and not match["attrs"].endswith("/"):
-            stack.append((name, bad))
-            excluded += bad
-            labelled += name in ("article", "main")
+            flag = "never" if _flagged(name, match["attrs"], regions > 0) else None
+            what = [flag, "region" if name in ("article", "main") else None]
+            own = [[w, len(found), -1] for w in what if w]
+            marks += own
+            stack.append((name, bool(flag), own))
+            regions += name in ("article", "main")
             links += name == "a"
-            header += name == "header" and not bad
-            if name in REGIONS:
-                region.append(name)
-        yield f"open:{name}", name, excluded > 0, labelled > 0
-    yield from text(page[at:])
+            headings += name in HEADINGS
+            header += name == "header" and not flag
+            if name in BLOCKS:
+                blocks.append(name)
+        found.append((f"open:{name}", name))
+    text(page[at:])
+    while stack:
+        pop()
+    return found, [(what, start, end) for what, start, end in marks]
+
+
+class Page:
+    """A page's tokens with what is known of each: words, whether excluded, and what named regions say of it (-1 to 1)."""
+
+    def __init__(self, html: str):
+        self.found, marks = tokens(html)
+        n = len(self.found)
+        self.is_word = np.array([kind.startswith("word:") for kind, _ in self.found], bool)
+        self.words = np.array([_words(piece) if word else 1 for (_, piece), word in zip(self.found, self.is_word, strict=True)], np.int64)
+        linked = np.array([kind == "word:a" for kind, _ in self.found], bool)
+        self.excluded = _cover([(a, b) for what, a, b in marks if what == "never"], n)
+        prose = np.where(self.is_word & ~linked & ~self.excluded, self.words, 0)
+        sums = np.concatenate([[0], np.cumsum(prose)])
+        named = [(a, b) for what, a, b in marks if what == "region" and not self.excluded[a]]
+        outer: list[tuple[int, int]] = []
+        for a, b in named:
+            if not outer or a >= outer[-1][1]:
+                outer.append((a, b))
+        self.said = np.zeros(n)
+        self.region: tuple[int, int] | None = None
+        if outer:
+            held = [int(sums[b] - sums[a]) for a, b in outer]
+            most = max(held)
+            share = most / sums[-1] if sums[-1] else 0.3
+            strength = min(1.0, max(-1.0, (share - 0.3) / 0.1))
+            # A region much smaller than the largest is a teaser or a remark; several alike say nothing of each other.
+            self.said[:] = -max(strength, 0.0)
+            for (a, b), own in zip(outer, held, strict=True):
+                self.said[a:b] = strength if own == most else 0.0 if 4 * own >= most else -abs(strength)
+            if len(named) == 1 and strength > 0:
+                self.region = outer[0]
+
+
+def _cover(spans: list[tuple[int, int]], n: int) -> np.ndarray:
+    """Which of n places lie in any of the spans."""
+    steps = np.zeros(n + 1, np.int64)
+    for a, b in spans:
+        steps[a] += 1
+        steps[b] -= 1
+    return np.cumsum(steps)[:n] > 0
 
 
 def _words(piece: str) -> int:
     return len(piece.split())
 
 
-def count_kinds(page: str) -> tuple[Counter, Counter] | None:
+def count_kinds(html: str) -> tuple[Counter, Counter] | None:
     """How often each kind is inside and outside the labelled region; None if the page isn't labelled."""
     inside, outside = Counter(), Counter()
-    marks = 0
-    for kind, piece, excluded, labelled in tokens(page):
-        marks += kind in ("open:article", "open:main")
-        n = _words(piece) if kind.startswith("word:") else 1
-        if n and not excluded:
-            (inside if labelled else outside)[kind] += n
-    return (inside, outside) if marks == 1 else None
+    page = Page(html)
+    if page.region is None:
+        return None
+    for i, ((kind, _), word, n, excluded) in enumerate(
+        zip(page.found, page.is_word.tolist(), page.words.tolist(), page.excluded.tolist(), strict=True)
+    ):
+        if n and (word or not excluded):
+            (inside if page.region[0] <= i < page.region[1] else outside)["word:out" if excluded else kind] += n
+    return inside, outside
 
 
 def prior_weight(kind: str) -> float:
     if kind.startswith("word:"):
-        return -0.5 if kind == "word:a" else 1.0
+        return {"word:a": -0.5, "word:out": -2.0}.get(kind, 1.0)
     return -0.05 if kind.split(":")[1] in PROSE else -1.0
 
 
@@ -235,24 +298,22 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
     """The main text: white space in a block is one space, blocks are joined by a line feed."""
     if not page:
         return ""
-    found = list(tokens(page))
-    named = any(kind in ("open:article", "open:main") for kind, _, _, _ in found)
+    read = Page(page)
+    found, said = read.found, read.said.tolist()
     scores = np.empty(len(found))
-    for i, (kind, piece, excluded, labelled) in enumerate(found):
-        # Where a page names no main region, what was learned about plain containers doesn't hold.
-        word = kind.startswith("word:")
-        weight = weights.get(kind, prior_weight(kind)) if named or not word else prior_weight(kind)
-        n = _words(piece) if word else 1
-        if labelled:
-            # The page itself names this as its main text: nothing but excluded elements counts against it.
-            weight = max(weight, 0.2 if word else -0.02)
-        if excluded or named and word and not labelled:
-            weight = min(weight, OUTSIDE if word and not labelled else -0.01)
-            n = min(n, 1) if labelled else n
-        scores[i] = weight * n
+    for i, ((kind, _), word, n, excluded) in enumerate(
+        zip(found, read.is_word.tolist(), read.words.tolist(), read.excluded.tolist(), strict=True)
+    ):
+        if excluded and said[i] > 0:
+            # Left out of the text anyway, and no reason to end it within the region that holds it.
+            scores[i] = -0.01
+        elif excluded:
+            scores[i] = min(weights.get("word:out", prior_weight("word:out")), -0.5) * n if word else -0.01
+        else:
+            scores[i] = (weights.get(kind, prior_weight(kind)) + EVIDENCE * said[i] * word) * n
     start, end = best_run(scores)
     blocks: list[list[str]] = [[]]
-    for kind, piece, excluded, _ in found[start:end]:
+    for (kind, piece), excluded in zip(found[start:end], read.excluded[start:end].tolist(), strict=True):
         what, _, name = kind.partition(":")
         if what == "word":
             if not excluded:
