@@ -131,3 +131,30 @@ def test_remarks_do_not_unname_the_region():
     page = prose_page(f"<article>{BODY}</article><article class=comment><p>nice</p></article>")
     assert count_kinds(page) is not None
     assert count_kinds(prose_page(f"<div>{BODY}{BODY}</div><article><p>a teaser</p></article>")) is None
+
+
+def test_wrappers_named_like_sidebars_keep_their_text():
+    inner = f"<h1>Title</h1>{BODY}"
+    for page in (
+        f"<html><body class='no-sidebar'><div>{inner}</div></body></html>",
+        f"<html class='has-banner'><body><div>{inner}</div></body></html>",
+        f"<body class='search modal'><div>{inner}</div></body>",
+        f"<body><main class='with-sidebar'>{inner}</main></body>",
+        f"<body><main class='sidebar'>{inner}</main></body>",
+        f"<body><article class='post social-history'>{inner}</article></body>",
+        f"<body><article class='post search tags'>{inner}</article></body>",
+        f"<body><div id='page' class='right-sidebar'>{inner}</div></body>",
+        f"<body><div class='no-sidebar has-widget'>{inner}</div><div class='widget-area'>side words</div></body>",
+        f"<body><div class='sidebar'><div class='social'>{inner}</div><div class='comments'><p>great post</p></div></div></body>",
+    ):
+        assert extract(page, {}) == extract(page, learned()) == "Title\n" + TEXT, page
+
+
+def test_hints_still_leave_out_what_is_no_wrapper():
+    names = "comment-list sidebar-left right-sidebar site-footer cookie-notice ad ads-300x250 widget-2 share-buttons nav-menu side-bar"
+    for name in names.split():
+        page = f"<body><div><h1>Title</h1>{BODY}</div><div class='x {name}'><p>{'other ' * 30}</p></div></body>"
+        assert extract(page, {}) == extract(page, learned()) == "Title\n" + TEXT, name
+    # More remarks than text.
+    page = f"<body><div><h1>Title</h1>{BODY}</div><div class=comments>{'<p>great post of the day</p>' * 60}</div></body>"
+    assert extract(page, {}) == extract(page, learned()) == "Title\n" + TEXT

@@ -6,7 +6,8 @@ element). One linear scan finds the contiguous run with the largest sum; its wor
 Article and main elements are evidence added to the weights of words, for or against by the share of the page's prose they
 hold: teasers and remarks beside a longer text count against themselves. Elements that never hold article text (menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments) score by a learned negative weight
-and are left out where the run contains them.
+and are left out where the run contains them; one that only its class or id names so is no such element if it wraps most
+of the page's prose.
 
 Defined results: a null or empty page has an empty text; so has a page without words that score positive. Of several
 equally good runs the first counts. Pages are independent, so repeated rows give repeated results and very long pages
@@ -44,11 +45,19 @@ PROSE = frozenset(
 CONTAINERS = frozenset("html body main article section div center address fieldset form".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|side-?bar|aside|menu|"
-    r"nav\w*|footer|masthead|site-?header|page-?header|comments?|replies|respond|disqus|social|share|sharing|related|"
-    r"recommend\w*|breadcrumbs?|newsletter|subscribe|subscription|sign-?up|pop-?up|modal|overlay|widget|pagination|"
-    r"skip-?link|toolbar|tags|login|search)(?:$|[\s_-])",
-    re.I,
+    r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|sidebar|aside|menu|"
+    r"nav\w*|footer|masthead|siteheader|pageheader|comments?|replies|respond|disqus|social|share|sharing|related|"
+    r"recommend\w*|breadcrumbs?|newsletter|subscribe|subscription|signup|popup|modal|overlay|widget|pagination|"
+    r"skiplink|toolbar|tags|login|search"
+)
+REMARK = re.compile(r"comments?|reply|replies|respond|disqus")
+PAIRS = re.compile(r"\b(side|site|page|skip|sign|pop)[-_](bar|header|link|up)(?![a-z])")
+#: Parts that may stand beside a hint in a class token; others (no-sidebar, has-banner, social-history) change its meaning.
+NEUTRAL = frozenset(
+    "area article author bar block body bottom box button buttons card column container content date entry fixed form "
+    "global group header heading icons inner item items large leaderboard left link links list main meta middle mobile "
+    "module outer page panel post posts primary reader rectangle right row secondary section site skyscraper slot small "
+    "sticky story text thread title tools top unit user wide wrap wrapper".split()
 )
 ROLE = re.compile(r"^(?:navigation|banner|contentinfo|complementary|search|form|menu|menubar|dialog|alert)$", re.I)
 
@@ -65,23 +74,39 @@ SAMPLE_PAGES = 2_000
 PRIOR = 4.0
 #: Weight of what a region the page names says of a word, against at most 3 of its kind.
 EVIDENCE = 4.0
-#: Words from which on a text is long.
+#: Words from which on a text is long, and from which on an element may be taken for the wrapper of a page without headline.
 LONG = 10
+WRAPPED = 50
+
 
+def _flagged(name: str, attrs: str, inside: bool) -> str | None:
+    """``never`` for elements that hold no article text, ``hint`` if only a class or id says so.
 
-def _flagged(name: str, attrs: str, inside: bool) -> bool:
-    """Whether an element never holds article text. A header inside the article may hold its headline."""
+    A header inside the article may hold its headline. html, body and main are never flagged.
+    """
+    if name in ("html", "body", "main"):
+        return None
     if name in NEVER or name == "header" and not inside:
-        return True
+        return "never"
     if "=" not in attrs:
-        return False
+        return None
+    hint = False
     for key, a, b, c in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), a or b or c
-        if key in ("class", "id") and HINT.search(value) or key == "role" and ROLE.match(value):
-            return True
-        if key == "aria-hidden" and value.lower() == "true":
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs, re.I))
+        if key == "role" and ROLE.match(value) or key == "aria-hidden" and value.lower() == "true":
+            return "never"
+        hint = hint or key in ("class", "id") and any(_hinted(t, name) for t in value.lower().split())
+    if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs, re.I):
+        return "never"
+    return "hint" if hint else None
+
+
+def _hinted(token: str, name: str) -> bool:
+    """Whether a whole class token names something else than article text; an article can only be a reader comment."""
+    hint = REMARK if name == "article" else HINT
+    parts = [p for p in re.split(r"[-_]+", PAIRS.sub(r"\1\2", token)) if p]
+    rest = [p for p in parts if not hint.fullmatch(p)]
+    return len(rest) < len(parts) and all(p in NEUTRAL or re.fullmatch(r"\d+(?:x\d+)?", p) for p in rest)
 
 
 def tokens(page: str) -> tuple[list[tuple[str, str]], list[tuple[str, int, int]]]:
@@ -89,7 +114,7 @@ def tokens(page: str) -> tuple[list[tuple[str, str]], list[tuple[str, int, int]]
 
     kind is ``word:`` and the closest block element (``word:a`` in a link, ``word:box`` straight in a container), with a
     ``+`` for LONG texts, or ``open:``/``close:`` and a tag's name. No kind tells how a page names its containers, so what
-    some pages teach holds on all. Elements are marked as ``never`` and ``region`` (article, main).
+    some pages teach holds on all. Elements are marked as ``never``, ``hint``, ``region`` (article, main) and ``title`` (h1).
     """
     stack: list[tuple[str, bool, list[list]]] = []
     found: list[tuple[str, str]] = []
@@ -148,8 +173,8 @@ def tokens(page: str) -> tuple[list[tuple[str, str]], list[tuple[str, int, int]]
                 if open_name in BLOCKS:
                     break
         if name not in VOID and not match["attrs"].endswith("/"):
-            flag = "never" if _flagged(name, match["attrs"], regions > 0) else None
-            what = [flag, "region" if name in ("article", "main") else None]
+            flag = _flagged(name, match["attrs"], regions > 0)
+            what = [flag, "region" if name in ("article", "main") else None, "title" if name == "h1" else None]
             own = [[w, len(found), -1] for w in what if w]
             marks += own
             stack.append((name, bool(flag), own))
@@ -175,8 +200,19 @@ class Page:
         self.is_word = np.array([kind.startswith("word:") for kind, _ in self.found], bool)
         self.words = np.array([_words(piece) if word else 1 for (_, piece), word in zip(self.found, self.is_word, strict=True)], np.int64)
         linked = np.array([kind == "word:a" for kind, _ in self.found], bool)
-        self.excluded = _cover([(a, b) for what, a, b in marks if what == "never"], n)
-        prose = np.where(self.is_word & ~linked & ~self.excluded, self.words, 0)
+        never = _cover([(a, b) for what, a, b in marks if what == "never"], n)
+        prose = np.where(self.is_word & ~linked & ~never, self.words, 0)
+        sums = np.concatenate([[0], np.cumsum(prose)])
+        titles = np.array([a for what, a, _ in marks if what == "title" and not never[a]], np.int64)
+
+        def wraps(a: int, b: int) -> bool:
+            # What holds most of the prose with its headline, or nearly all, wraps the page, whatever it is called.
+            here, total = int(sums[b] - sums[a]), int(sums[-1])
+            headed = np.searchsorted(titles, b) > np.searchsorted(titles, a)
+            return 2 * here > total and bool(headed) or here >= WRAPPED and 10 * (total - here) < here
+
+        self.excluded = never | _cover([(a, b) for what, a, b in marks if what == "hint" and not wraps(a, b)], n)
+        prose[self.excluded] = 0
         sums = np.concatenate([[0], np.cumsum(prose)])
         named = [(a, b) for what, a, b in marks if what == "region" and not self.excluded[a]]
         outer: list[tuple[int, int]] = []
