@@ -1,5 +1,6 @@
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -7,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tidemark.llm import mixture_packing
-from tidemark.llm.mixture_packing import Mixture
+from tidemark.llm.mixture_packing import Mixture, node_places
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 DDL = "doc_id long, source string, text string"
@@ -122,3 +123,48 @@ def test_words_coded_alone_equal_whole_texts(ids_of):
     texts = ["".join(source.choice(" \n\tabTHEst12!'é́̌JjIİΣς日 ") for _ in range(source.randint(0, 80))) for _ in range(2000)]
     for text, packed in zip(texts, coder.encode([t.encode() for t in texts]), strict=True):
         assert np.frombuffer(packed, coder.kind).tolist() == ids_of(text)[:-1]
+
+
+def test_places_in_a_node_follow_virtual_finishing_times():
+    source = random.Random(7)
+    for _ in range(60):
+        totals = np.array([source.randint(1, 60) for _ in range(source.randint(1, 6))])
+        turn = source.choice([1, 2, 5])
+        turns = -(-totals // turn)
+        order = sorted((Fraction(2 * q + 1, int(turns[c])), c, q) for c in range(len(totals)) for q in range(turns[c]))
+        want, at = {}, 0
+        for _, c, q in order:
+            for i in range(q * turn, min((q + 1) * turn, totals[c])):
+                want[c, i], at = at, at + 1
+        for c, total in enumerate(totals):
+            a = source.randrange(total)
+            places, sizes = node_places(totals, turn, c, np.array([0, a]), np.array([total, total - a]))
+            found = [p + k for p, n in zip(places, sizes, strict=True) for k in range(n)]
+            assert found == [want[c, i] for i in [*range(total), *range(a, total)]]
+    big = np.array([10**13, 3 * 10**12, 1])
+    places, sizes = node_places(big, 16, 1, np.array([10**12]), np.array([16]))
+    assert sizes.sum() == 16 and abs(places[0] - (10**12 * 13 // 3)) < 64
+
+
+@pytest.mark.parametrize("fan", [2, 3, 32])
+def test_sources_without_a_queue_keep_their_proportion(frame, ids_of, monkeypatch, fan):
+    monkeypatch.setattr(mixture_packing, "QUEUES", 4)
+    monkeypatch.setattr(mixture_packing, "FAN", fan, raising=False)
+    monkeypatch.setattr(mixture_packing, "ROW_BYTES", 3000)
+    # Sources one after the other in the table, as files of a source each are.
+    data = [(i, f"s{i // 40}" if i // 40 else None, "a b c d e " * (3 + i // 40 % 4)) for i in range(480)]
+    length = 256
+    found = mixture_packing.pack(frame(data, DDL).orderBy("doc_id"), PATH, 2, length=length, with_ids=True).collect()
+    check(found, data, ids_of, length)
+    total = sum(p["length"] for p in found)
+    held, in_window = {}, {}
+    for p in found:
+        s = p["doc_id"] // 40
+        held[s] = held.get(s, 0) + p["length"]
+        in_window[s, p["sequence_id"]] = in_window.get((s, p["sequence_id"]), 0) + p["length"]
+    for s, n in held.items():
+        mean = length / len(held)
+        for w in range(total // length):
+            so_far = sum(in_window.get((s, v), 0) for v in range(w + 1))
+            assert abs(so_far - (w + 1) * length * n / total) < 3 * mean
+            assert in_window.get((s, w), 0) > 0

@@ -7,7 +7,13 @@ token is packed. Documents are cut where a queue's turn ends.
 
 Windows are worked on in blocks. How far each queue is at the border of a block follows from the totals alone (the tokens
 with the smallest virtual finishing times come first), so any task computes the credits carried into a block without the
-blocks before it. The driver holds one total per queue: the QUEUES - 1 largest sources have one each, the rest share one.
+blocks before it. The driver holds one total per queue, that of the QUEUES - 1 largest sources.
+
+All further sources share a part of each window that is in proportion to what they hold. Who has its turn there is settled
+by a tree of at most FAN children a node, sources or nodes of sources: children give turns of tokens in the order of their
+virtual finishing times. A place in a source becomes one in its node, and so on up to the shared part, by the totals
+of the nodes on the way alone, and these are a table of which a row gets what its sources need. So every source keeps its
+proportion, however many there are, to within a turn (1/256 of a window) a level.
 
 Tokens that don't fill a last window become sequences whose lengths are powers of two, which need no padding.
 
@@ -21,13 +27,13 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -37,6 +43,10 @@ LENGTH = 4096
 #: Windows in a block.
 BLOCK = 64
 QUEUES = 256
+#: Children of a node at most, in the tree of the sources that have no queue of their own.
+FAN = 32
+#: Turns whose places are worked out at a time.
+TURNS = 16_384
 #: Words remembered per Python worker.
 CACHE_WORDS = 1_000_000
 CACHE_LENGTH = 64
@@ -99,19 +109,28 @@ def _coder(definition: str) -> WordCoder:
 
 
 class Mixture:
-    """Who is served what in which window, given how many tokens each queue holds."""
+    """Who is served what in which window, given how many tokens each queue holds and how many the shared part."""
 
-    def __init__(self, totals: list[int], length: int = LENGTH, block: int = BLOCK):
-        self.totals, self.length, self.block = totals, length, block
-        self.total = sum(totals)
+    def __init__(self, totals: list[int], length: int = LENGTH, block: int = BLOCK, shared: int = 0):
+        self.totals, self.length, self.block, self.shared = totals, length, block, shared
+        self.own = sum(totals)
+        self.total = self.own + shared
         self.windows = self.total // length
         self.blocks = -(-self.windows // block)
         self.border = lru_cache(maxsize=4096)(self._border)
         self.served = lru_cache(maxsize=64)(self._served)
 
+    def given(self, w: int) -> int:
+        """Tokens of the shared part before a window: its proportion, rounded. They come first in a window."""
+        return (2 * w * self.length * self.shared + self.total) // (2 * self.total) if self.shared else 0
+
+    def edge(self, w: int) -> int:
+        """Tokens that the queues have given before a window."""
+        return w * self.length - self.given(w)
+
     def _border(self, n: int) -> list[int]:
         """Tokens each queue has given when n tokens are served: those with the smallest (i + 1/2) / total, ties in order."""
-        if n >= self.total:
+        if n >= self.own:
             return list(self.totals)
         # At time m / 2**64 a queue has served round(total * m / 2**64) tokens.
         at = lambda m: [(t * m + (1 << 63)) >> 64 for t in self.totals]
@@ -135,8 +154,9 @@ class Mixture:
         """For the windows of a block: where each queue's turn starts in the queue (one row more), and in the window."""
         first = b * self.block
         k = min(self.block, self.windows - first)
-        begin = np.array(self.border(first * self.length), np.int64)
-        left = np.array(self.border((first + k) * self.length), np.int64) - begin
+        begin = np.array(self.border(self.edge(first)), np.int64)
+        left = np.array(self.border(self.edge(first + k)), np.int64) - begin
+        seats_of = np.diff([self.edge(first + w) for w in range(k + 1)])
         quantum, credit = left.copy(), np.zeros(len(left), np.int64)  # in tokens times k
         taken = np.zeros((k, len(left)), np.int64)
         for w in range(k):
@@ -145,7 +165,7 @@ class Mixture:
                 take = left.copy()
             else:
                 take = np.clip(credit // k, 0, left)
-                seats = self.length - int(take.sum())
+                seats = int(seats_of[w]) - int(take.sum())
                 while seats:
                     # One more token for the largest credits, or one less for the smallest.
                     owed = credit - take * k
@@ -157,7 +177,7 @@ class Mixture:
             left -= take
             taken[w] = take
         starts = begin + np.concatenate([np.zeros((1, len(left)), np.int64), np.cumsum(taken, axis=0)])
-        return starts, np.cumsum(taken, axis=1) - taken
+        return starts, np.cumsum(taken, axis=1) - taken + (self.length - seats_of)[:, None]
 
     def _tail(self) -> list[int]:
         rest = self.total - self.windows * self.length
@@ -187,11 +207,14 @@ class Mixture:
             yield from self._in_tail(queue, at, end, start)
 
     def _begin(self, b: int) -> list[int]:
-        return self.border(min(b * self.block, self.windows) * self.length)
+        return self.border(self.edge(min(b * self.block, self.windows)))
 
     def _in_tail(self, queue: int, at: int, end: int, start: int) -> Iterator[tuple[int, int, int, int]]:
-        full = self.border(self.windows * self.length)
-        place = sum(t - f for t, f in zip(self.totals[:queue], full[:queue], strict=True)) + at - full[queue]
+        full = self.border(self.edge(self.windows))
+        before = sum(t - f for t, f in zip(self.totals[:queue], full[:queue], strict=True)) + at - full[queue]
+        yield from self._seats(self.shared - self.given(self.windows) + before, at, end, start)
+
+    def _seats(self, place: int, at: int, end: int, start: int) -> Iterator[tuple[int, int, int, int]]:
         before = 0
         for i, size in enumerate(self._tail()):
             while at < end and place < before + size:
@@ -200,6 +223,62 @@ class Mixture:
                 at, place = at + step, place + step
             before += size
 
+    def shared_pieces(self, start: int, n: int) -> Iterator[tuple[int, int, int, int]]:
+        """Like ``pieces``, for tokens that start at a place of the shared part."""
+        at, end = start, start + n
+        while at < end:
+            w = (self.total * (2 * at + 1) - 1) // (2 * self.length * self.shared)  # the last with given(w) <= at
+            if w >= self.windows:
+                yield from self._seats(at - self.given(self.windows), at, end, start)
+                return
+            stop = min(end, self.given(w + 1))
+            yield at - start, stop - at, w, at - self.given(w)
+            at = stop
+
+
+def node_places(totals: np.ndarray, turn: int, child: int, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ranges of a child's tokens come in its node, in order: places and lengths of runs.
+
+    A child with m turns gives its turn q at the time (q + 1/2) / m; of equal times the first child's comes first.
+    """
+    ends = starts + sizes
+    first = starts // turn
+    counts = (ends - 1) // turn - first + 1
+    which = np.repeat(np.arange(len(starts)), counts)
+    q = first[which] + np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
+    low, high = np.maximum(q * turn, starts[which]), np.minimum((q + 1) * turn, ends[which])
+    turns = -(-totals // turn)
+    own = int(turns[child])
+    # Products of two numbers of turns; beyond 64 bits as Python numbers.
+    kind = np.int64 if 4 * int(turns.max()) ** 2 < 1 << 63 else object
+    later = (np.arange(len(totals)) > child).astype(np.int64)
+    places = low - q * turn
+    for i in range(0, len(q), TURNS):
+        times = (2 * q[i : i + TURNS, None] + 1).astype(kind) * turns.astype(kind)
+        earlier = ((times - later) // own + 1) // 2
+        earlier[:, child] = q[i : i + TURNS]
+        places[i : i + TURNS] += np.minimum(earlier * turn, totals).sum(axis=1).astype(np.int64)
+    new = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1] + (high - low)[:-1]]))
+    return places[new], np.add.reduceat(high - low, new)
+
+
+class Tree:
+    """The order of sources in the shared part; ``nodes`` has totals of children by level and number of a node."""
+
+    def __init__(self, depth: int, fan: int, length: int, root: list[int]):
+        self.depth, self.fan, self.turn = depth, fan, max(1, length // 256)
+        self.nodes: dict[tuple[int, int], np.ndarray] = {}
+        self.root = np.array(root, np.int64)
+
+    def runs(self, rank: int, start: int, n: int) -> list[tuple[int, int]]:
+        """Places in the shared part, and lengths, of tokens of the source with this rank."""
+        starts, sizes = np.array([start], np.int64), np.array([n], np.int64)
+        for level in range(self.depth - 1, -1, -1):
+            number, child = divmod(rank // self.fan ** (self.depth - 1 - level), self.fan)
+            totals = self.nodes[level, number] if level else self.root
+            starts, sizes = node_places(totals, self.turn, child, starts, sizes)
+        return list(zip(starts.tolist(), sizes.tolist(), strict=True))
+
 
 def tokenised(docs: DataFrame, definition: str, end: int, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Rows of many documents: ids, sources and packed tokens, each document closed by ``end``; in the shared folder."""
@@ -274,40 +353,47 @@ def pack(
     grand = totals.agg(F.sum("n")).first()[0] or 0
     largest = [(r["source"], r["n"]) for r in totals.orderBy(F.desc("n"), "source").limit(QUEUES - 1).collect()]
     queue_of = {source: i for i, (source, _) in enumerate(largest)}
-    rest = grand - sum(n for _, n in largest)
-    mixture = [n for _, n in largest] + ([rest] if rest else [])
+    mixture = [n for _, n in largest]
+    rest = grand - sum(mixture)
     numbers = docs.sparkSession.createDataFrame(
         [(s, i) for s, i in queue_of.items()], "source string, queue int"
     )
     # Where each row's share of a queue starts: the tokens that rows before it hold. One line per row and queue.
-    by_queue = (
-        held.join(F.broadcast(numbers), held["source"].eqNullSafe(numbers["source"]), "left")
-        .select("row", F.coalesce("queue", F.lit(len(queue_of))).alias("queue"), "n")
-        .groupBy("row", "queue")
-        .agg(F.sum("n").alias("n"))
-    )
-    before = Window.partitionBy("queue").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    by_source = held.withColumnRenamed("source", "name")
+    by_source = by_source.join(F.broadcast(numbers), by_source["name"].eqNullSafe(numbers["source"]), "left").drop("source")
     starts = (
-        by_queue.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        by_source.where("queue IS NOT NULL")
+        .withColumn("start", _held_before("queue"))
         .groupBy("row")
         .agg(F.collect_list(F.struct("queue", "start")).alias("starts"))
     )
+    tree, shares = _shared(totals, by_source.where("queue IS NULL").drop("queue"), len(largest), length) if rest else (None, None)
     kind = _coder(definition).kind
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mix = _mixture(tuple(mixture), length)
+        mix = _mixture(tuple(mixture), length, rest)
         unpress = zstandard.ZstdDecompressor()
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, sources, counts, tokens, starts = (batch.column(c)[i].as_py() for c in ("ids", "sources", "counts", "tokens", "starts"))
                 tokens = np.frombuffer(unpress.decompress(tokens), kind).astype("<u4")
-                at = {s["queue"]: s["start"] for s in starts}
+                at = {s["queue"]: s["start"] for s in starts or []}
+                ranks: dict[str | None, int] = {}
+                if tree:
+                    for s in batch.column("shares")[i].as_py() or []:
+                        ranks[s["name"]] = s["rank"]
+                        at["shared", s["name"]] = s["start"]
+                    tree.nodes = _nodes(batch.column("nodes")[i])
                 found: list[tuple] = []
                 begin = 0
                 for doc, source, n in zip(ids, sources, counts, strict=True):
-                    queue = queue_of.get(source, len(queue_of))
+                    queue = queue_of.get(source, ("shared", source))
                     own = memoryview(tokens[begin : begin + n]).cast("B")
-                    for start, size, sequence, offset in mix.pieces(queue, at[queue], n):
+                    if source in queue_of:
+                        pieces = mix.pieces(queue, at[queue], n)
+                    else:
+                        pieces = _in_runs(mix, tree.runs(ranks[source], at[queue], n))
+                    for start, size, sequence, offset in pieces:
                         part = own[4 * start : 4 * (start + size)]
                         row = (doc, start, size, zlib.crc32(part), n, sequence, offset)
                         found.append((*row, part.cast("I").tolist()) if with_ids else row)
@@ -320,14 +406,67 @@ def pack(
                     yield _pieces(found, schema)
 
     schema = PIECES.append(pa.field("ids", pa.list_(pa.int64()))) if with_ids else PIECES
-    placed = rows.drop("held").repartition(shuffle_width(docs.sparkSession), "row").join(starts, "row")
+    placed = rows.drop("held").repartition(shuffle_width(docs.sparkSession), "row").join(starts, "row", "left")
+    for share in shares or []:
+        placed = placed.join(share, "row", "left")
     return placed.mapInArrow(run, PIECES_DDL + (", ids array<long>" if with_ids else ""))
 
 
+def _held_before(key: str) -> Column:
+    """Tokens of the same queue or source that rows before this one hold."""
+    before = Window.partitionBy(key).orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("n").over(before), F.lit(0))
+
+
+def _shared(totals: DataFrame, held: DataFrame, first: int, length: int) -> tuple[Tree, list[DataFrame]]:
+    """The tree of the sources from rank ``first`` on; by row, ranks and starts of its sources and the nodes they need."""
+    ranked = totals.orderBy(F.desc("n"), "source").rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1] - first))
+    ranked = staged(ranked.toDF("source string, n long, rank long").where("rank >= 0"), "sources")
+    count, depth = ranked.count(), 1
+    while FAN**depth < count:
+        depth += 1
+    number = lambda level: F.expr(f"rank div {FAN ** (depth - level)}")
+    # The totals of the children of every node; the root's go with the tree.
+    levels = []
+    for level in range(depth):
+        children = ranked.groupBy(number(level + 1).alias("child")).agg(F.sum("n").alias("n"))
+        node = children.groupBy(F.expr(f"child div {FAN}").alias("number"))
+        levels.append(node.agg(F.sort_array(F.collect_list(F.struct("child", "n"))).alias("c")).select(F.lit(level).alias("level"), "number", "c.n"))
+    tree = Tree(depth, FAN, length, levels[0].first()["n"])
+    shares = held.withColumn("start", _held_before("name"))
+    shares = shares.join(ranked.select("source", "rank"), shares["name"].eqNullSafe(ranked["source"])).select("row", "name", "rank", "start")
+    out = [shares.groupBy("row").agg(F.collect_list(F.struct("name", "rank", "start")).alias("shares"))]
+    needed = [
+        shares.select("row", number(level).alias("number")).distinct().join(levels[level], "number")
+        for level in range(1, depth)
+    ]
+    if needed:
+        every = reduce(DataFrame.unionByName, needed)
+        out.append(every.groupBy("row").agg(F.collect_list(F.struct("level", "number", "n")).alias("nodes")))
+    else:
+        out[0] = out[0].withColumn("nodes", F.expr("CAST(NULL AS array<struct<level: int, number: bigint, n: array<bigint>>>)"))
+    return tree, out
+
+
+def _nodes(column: pa.ListScalar) -> dict[tuple[int, int], np.ndarray]:
+    if not column.is_valid:
+        return {}
+    level, number, totals = (column.values.field(k) for k in ("level", "number", "n"))
+    return {(a, b): t.values.to_numpy() for a, b, t in zip(level.to_pylist(), number.to_pylist(), totals, strict=True)}
+
+
+def _in_runs(mix: Mixture, runs: list[tuple[int, int]]) -> Iterator[tuple[int, int, int, int]]:
+    done = 0
+    for place, n in runs:
+        for start, size, sequence, offset in mix.shared_pieces(place, n):
+            yield done + start, size, sequence, offset
+        done += n
+
+
 def _pieces(found: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), schema, strict=True)], schema=schema)
 
 
 @lru_cache(maxsize=4)
-def _mixture(totals: tuple[int, ...], length: int) -> Mixture:
-    return Mixture(list(totals), length)
+def _mixture(totals: tuple[int, ...], length: int, shared: int) -> Mixture:
+    return Mixture(list(totals), length, shared=shared)
