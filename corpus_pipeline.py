@@ -62,7 +62,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces that documents are cut into for sequences of 4096 tokens."""
     importable(spark)
-    return mixture_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), END_TOKEN)
+    return mixture_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), END_TOKEN, added_tokens=True)
 
 
 STAGES = [

@@ -168,3 +168,24 @@ def test_sources_without_a_queue_keep_their_proportion(frame, ids_of, monkeypatc
             so_far = sum(in_window.get((s, v), 0) for v in range(w + 1))
             assert abs(so_far - (w + 1) * length * n / total) < 3 * mean
             assert in_window.get((s, w), 0) > 0
+
+
+def test_added_tokens_are_coded_as_the_tokenizer_does():
+    tokenizer = Tokenizer.from_file(PATH)
+    coder = mixture_packing.WordCoder(open(PATH, encoding="utf-8").read(), added_tokens=True)
+    source = random.Random(8)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", "<|endof", "A", "É", "́", "ǰ", " ", "\n", "word", "`"]
+    texts = ["".join(source.choice(parts) for _ in range(source.randint(0, 12))) for _ in range(2000)]
+    for text, packed in zip(texts, coder.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(packed, coder.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_query_codes_added_tokens(spark, tmp_path):
+    from tidemark.llm.queries import op2_mixture_packing
+
+    texts = {1: "a <|endoftext|> b", 2: "<|startoftext|>A", 3: "plain text", 4: "<|ENDOFTEXT|>"}
+    spark.createDataFrame([(i, "s", t) for i, t in texts.items()], DDL).write.parquet(str(tmp_path / "documents.parquet"))
+    found = op2_mixture_packing(spark, str(tmp_path)).collect()
+    tokenizer = Tokenizer.from_file(PATH)
+    want = {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in texts.items()}
+    assert {p["doc_id"]: p["doc_tokens"] for p in found} == want

@@ -24,7 +24,9 @@ are not looked at.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, reduce
@@ -55,12 +57,25 @@ ROW_BYTES = 8 << 20
 
 
 class WordCoder:
-    """Ids of texts by a tokenizer that drops white space: words are coded once and remembered."""
+    """Ids of texts by a tokenizer that drops white space: words are coded once and remembered.
 
-    def __init__(self, definition: str):
+    With ``added_tokens`` the strings of the file's added tokens give their ids, as the tokenizer has it by default.
+    """
+
+    def __init__(self, definition: str, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
+        self.plain: Tokenizer | None = None
+        self.added: dict[bytes, int] = {}
+        self.parts: re.Pattern | None = None
+        tokens = json.loads(definition).get("added_tokens") or [] if added_tokens else []
+        if any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] or not t["special"] for t in tokens):
+            self.plain = Tokenizer.from_str(definition)
+        elif tokens:
+            # They are looked for in the raw text, before anything else; of those at one place the longest counts.
+            self.added = {t["content"].encode(): t["id"] for t in tokens}
+            self.parts = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + b")")
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[bytes, bytes] = {}
         # A character that is one token by itself parts new words, so that many are coded in one call.
@@ -72,6 +87,22 @@ class WordCoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as packed numbers of ``kind``."""
+        if self.plain:
+            return [np.array(self.plain.encode(t.decode(), add_special_tokens=False).ids, self.kind).tobytes() for t in texts]
+        cut = {i: self.parts.split(t) for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        if not cut:
+            return self._encode(texts)
+        # Every other part is an added token.
+        coded = iter(self._encode([part for i, t in enumerate(texts) for part in cut.get(i, [t])[::2]]))
+        packed = []
+        for i in range(len(texts)):
+            ids = [next(coded)]
+            for token in cut.get(i, [])[1::2]:
+                ids += [np.array([self.added[token]], self.kind).tobytes(), next(coded)]
+            packed.append(b"".join(ids))
+        return packed
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
         # The tokenizer lower-cases; doing so for A-Z first means fewer words, but must not come before a combining mark.
         words = [(t if b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
         here = {w for ws in words for w in ws}
@@ -104,8 +135,8 @@ class WordCoder:
 
 
 @lru_cache(maxsize=2)
-def _coder(definition: str) -> WordCoder:
-    return WordCoder(definition)
+def _coder(definition: str, added_tokens: bool = False) -> WordCoder:
+    return WordCoder(definition, added_tokens)
 
 
 class Mixture:
@@ -280,12 +311,20 @@ class Tree:
         return list(zip(starts.tolist(), sizes.tolist(), strict=True))
 
 
-def tokenised(docs: DataFrame, definition: str, end: int, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def tokenised(
+    docs: DataFrame,
+    definition: str,
+    end: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    added_tokens: bool = False,
+) -> DataFrame:
     """Rows of many documents: ids, sources and packed tokens, each document closed by ``end``; in the shared folder."""
     shipped = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(shipped.value)
+        coder = _coder(shipped.value, added_tokens)
         last = np.array([end], coder.kind).tobytes()
         press = zstandard.ZstdCompressor(level=1)
         context = TaskContext.get()
@@ -343,11 +382,15 @@ def pack(
     text_col: str = "text",
     source_col: str = "source",
     with_ids: bool = False,
+    added_tokens: bool = False,
 ) -> DataFrame:
-    """One row per piece of every document; ``path`` is a tokenizer file the driver reads. ``with_ids`` adds the ids."""
+    """One row per piece of every document; ``path`` is a tokenizer file the driver reads. ``with_ids`` adds the ids.
+
+    ``added_tokens`` codes the strings of the file's added tokens in texts as these, else they are split like other text.
+    """
     with open(path, encoding="utf-8") as file:
         definition = file.read()
-    rows = tokenised(docs, definition, end, id_col, text_col, source_col)
+    rows = tokenised(docs, definition, end, id_col, text_col, source_col, added_tokens)
     held = rows.select("row", F.explode("held").alias("h")).select("row", "h.source", "h.n")
     totals = held.groupBy("source").agg(F.sum("n").alias("n"))
     grand = totals.agg(F.sum("n")).first()[0] or 0
@@ -368,7 +411,7 @@ def pack(
         .agg(F.collect_list(F.struct("queue", "start")).alias("starts"))
     )
     tree, shares = _shared(totals, by_source.where("queue IS NULL").drop("queue"), len(largest), length) if rest else (None, None)
-    kind = _coder(definition).kind
+    kind = _coder(definition, added_tokens).kind
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mix = _mixture(tuple(mixture), length, rest)

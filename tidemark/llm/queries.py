@@ -33,7 +33,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    return mixture_packing.pack(table(spark, sf_dir, "documents"), path, END_TOKEN)
+    return mixture_packing.pack(table(spark, sf_dir, "documents"), path, END_TOKEN, added_tokens=True)
 
 
 def op3_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
