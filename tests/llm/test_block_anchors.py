@@ -99,3 +99,14 @@ def test_documents_keep_their_columns(frame, corpus, monkeypatch, size):
 def test_no_documents_with_columns(frame):
     docs = frame([], "doc_id long, text string")
     assert block_anchors.cut_documents(docs).collect() == []
+
+
+@pytest.mark.parametrize("size", [8 << 20, 600])
+def test_negative_ids(frame, rows, prose, monkeypatch, size):
+    monkeypatch.setattr(block_anchors, "chunked", lambda d, i, t, keep, f=block_anchors.chunked: f(d, i, t, size, keep))
+    line = prose(60)
+    data = [(-5, line), (-7, f"{prose(11)} {line}"), (3, f"{prose(7)} {line} {prose(9)}"), (-(2**63), line[:400]), (-(2**63) + 1, prose(80)), (4, prose(30))]
+    data += [(9, f"x {data[4][1]}"), (10, f"{prose(13)} {data[0][1]}")]
+    got = rows(block_anchors.remove_repeats(frame(data, "doc_id long, text string")))
+    assert got == brute(data)
+    assert sum(r[2] for r in got) > 200

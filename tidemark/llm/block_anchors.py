@@ -95,6 +95,8 @@ def _send_blocks(buckets: int):
 
 
 HIT = ("u4", "i8")
+#: In place of a smaller id: the block is needed, whoever hit it.
+NEEDED = -(2**63)
 
 
 def _find_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,8 +137,7 @@ def _find_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start += len(h)
         used = seen[own] > 1
         if used.any():
-            # -1: the block is needed, whoever hit it.
-            hits.append((key, at[used], np.full(int(used.sum()), -1)))
+            hits.append((key, at[used], np.full(int(used.sum()), NEEDED, np.int64)))
     for key, at, least in hits:
         yield packed([(0, key, "hit", pack(at.astype("<u4"), least.astype("<i8")))])
 
@@ -162,7 +163,7 @@ def _send_windows(buckets: int):
                 at = at.astype(np.int64)
                 hashes, whole, offsets = _words(chunk, WINDOW)
                 row = np.searchsorted(offsets, at, side="right") - 1
-                at = np.unique(at[least < chunk.ids[row]])
+                at = np.unique(at[(least < chunk.ids[row]) | (least == NEEDED)])
                 # Of the windows that hold a block each belongs to the first whole block in it.
                 near = np.zeros(int(offsets[-1]) + 1, np.int64)
                 np.add.at(near, np.maximum(at - BLOCK + 1, 0), 1)
