@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     block_anchors,
     byte_bpe,
+    divergence_rules,
     fourier_quality,
     mixture_packing,
     multi_index,
@@ -71,6 +72,10 @@ def op10_subsequence_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subsequence_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op13_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_rules.quality_verdicts(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_perfect_hash_dedup,
         op10_subsequence_extract,
+        op13_divergence_rules,
     )
 }
 
@@ -144,4 +150,41 @@ WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
  g AS (SELECT digest, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY digest)
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.digest AS text_sha256
 FROM d JOIN g ON g.digest = d.digest""",
+    "op13_divergence_rules": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce('=' || lang, '') AS g FROM documents),
+ w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, regexp_extract_all(lower(t), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ts,
+              list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM d),
+ v AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i,
+              unnest(list_transform(range(1, len(ws) - 3), lambda k: array_to_string(ws[k:k + 4], ' '))) AS s FROM w WHERE len(ws) > 5),
+ twice AS (SELECT doc_id, i FROM v QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+ steps AS (SELECT doc_id, least(5, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 5)) AS step FROM twice),
+ repeats AS (SELECT doc_id, CAST(sum(step) AS BIGINT) AS n FROM steps GROUP BY doc_id),
+ base AS (SELECT w.*, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+   CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+   CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+   FROM w LEFT JOIN repeats USING (doc_id)),
+ b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+   length(regexp_replace(t, '[^a-z]', '', 'g')) AS c0, length(regexp_replace(t, '[^\x20\x09]', '', 'g')) AS c1,
+   length(regexp_replace(t, '[^A-Z]', '', 'g')) AS c2, length(regexp_replace(t, '[^\x21\x22\x27\x28\x29\x2C\x2D\x2E\x3A\x3B\x3F]', '', 'g')) AS c3,
+   length(regexp_replace(t, '[^\x0A-\x0D]', '', 'g')) AS c4, length(regexp_replace(t, '[^0-9]', '', 'g')) AS c5,
+   length(regexp_replace(t, '[^\x23-\x26\x2A\x2B\x2F\x3C-\x3E\x40\x5B-\x60\x7B-\x7E]', '', 'g')) AS c6 FROM base),
+ words AS (SELECT doc_id, g, unnest(ts) AS word FROM b),
+ held AS (SELECT g, word, count(DISTINCT doc_id) AS n FROM words WHERE length(word) <= 6 GROUP BY g, word),
+ common AS (SELECT g, word FROM held QUALIFY row_number() OVER (PARTITION BY g ORDER BY n DESC, word) <= 24),
+ found AS (SELECT doc_id, word, count(*) AS x FROM words JOIN common USING (g, word) GROUP BY doc_id, word),
+ counts AS (
+   SELECT doc_id, g, base_failed, 'class' AS part, unnest(['0', '1', '2', '3', '4', '5', '6', '7']) AS place,
+     unnest([c0, c1, c2, c3, c4, c5, c6, length(t) - c0 - c1 - c2 - c3 - c4 - c5 - c6]) AS x, length(t) AS total FROM b
+   UNION ALL SELECT doc_id, g, base_failed, 'word', word, coalesce(x, 0), len(ts) FROM b JOIN common USING (g) LEFT JOIN found USING (doc_id, word)
+   UNION ALL SELECT doc_id, g, base_failed, 'word', '', len(ts) - coalesce(y, 0), len(ts)
+     FROM b LEFT JOIN (SELECT doc_id, sum(x) AS y FROM found GROUP BY doc_id) USING (doc_id)),
+ long AS (SELECT * FROM counts WHERE total >= CASE part WHEN 'class' THEN 200 ELSE 50 END),
+ shares AS (SELECT g, part, place, sum(floor(x * 1000000 / total)) AS q, count(*) AS documents FROM long WHERE NOT base_failed GROUP BY g, part, place),
+ means AS (SELECT g, part, place, q / sum(q) OVER (PARTITION BY g, part) AS q FROM shares WHERE documents >= 20),
+ pairs AS (SELECT doc_id, part, x / total AS p, q FROM long JOIN means USING (g, part, place)),
+ apart AS (SELECT doc_id, part, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+     + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS distance FROM pairs GROUP BY doc_id, part),
+ far AS (SELECT DISTINCT doc_id FROM apart WHERE distance > CASE part WHEN 'class' THEN 0.22 ELSE 0.35 END)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND f.doc_id IS NULL AS kept
+FROM b LEFT JOIN far f ON f.doc_id = b.doc_id""",
 }
