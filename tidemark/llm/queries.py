@@ -17,6 +17,7 @@ from tidemark.llm import (
     multi_index,
     odd_sketch,
     perfect_hash,
+    polar_whitening,
     subsequence_extract,
     suffix_dedup,
     warc_salvage,
@@ -72,6 +73,10 @@ def op10_subsequence_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subsequence_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op12_polar_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polar_whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence_rules.quality_verdicts(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_perfect_hash_dedup,
         op10_subsequence_extract,
+        op12_polar_whitening,
         op13_divergence_rules,
     )
 }
