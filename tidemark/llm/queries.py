@@ -13,6 +13,7 @@ from tidemark.llm import (
     byte_bpe,
     divergence_rules,
     fourier_quality,
+    geometric_search,
     mixture_packing,
     multi_index,
     odd_sketch,
@@ -73,6 +74,10 @@ def op10_subsequence_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subsequence_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_geometric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geometric_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_polar_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polar_whitening.whitened(table(spark, sf_dir, "embeddings"))
 
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_perfect_hash_dedup,
         op10_subsequence_extract,
+        op11_geometric_search,
         op12_polar_whitening,
         op13_divergence_rules,
     )
@@ -156,6 +162,21 @@ WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
  g AS (SELECT digest, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY digest)
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.digest AS text_sha256
 FROM d JOIN g ON g.digest = d.digest""",
+    "op11_geometric_search": r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+ q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+ s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM t WHERE len(ts) > 0),
+ m AS (SELECT doc_id, ts, 100 - 90 + ((90 * len(ts) * n_docs) // n_terms) AS m FROM t, s WHERE len(ts) > 0),
+ p AS (SELECT doc_id, m, term, count(*) AS tf FROM (SELECT doc_id, m, unnest(ts) AS term FROM m) GROUP BY doc_id, m, term),
+ w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+       FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+ scores AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+            FROM q JOIN p USING (term) JOIN w USING (term) GROUP BY item_id, doc_id),
+ r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+       FROM scores WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10""",
     "op13_divergence_rules": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce('=' || lang, '') AS g FROM documents),
  w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, regexp_extract_all(lower(t), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ts,
