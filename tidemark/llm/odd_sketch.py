@@ -6,9 +6,13 @@ odd sketch: a bitmap in which every sample flips one bit. The exclusive-or of tw
 samples differ in, so its population count tells highly similar pairs precisely from others. What passes is confirmed on
 the full sets: 100 * intersection >= 80 * union.
 
-Large buckets don't give all pairs. For a few turns every member is compared with one centre of its buckets only; the links
-found join most members. Then members of a bucket are compared across the components that are still apart, so that no
-bucket has an unseen pair: two members that are joined already need no link of their own.
+Buckets don't give all pairs. Every member is compared with one centre of its buckets first; the links found join most
+members. Then members of a bucket are compared across the components that are still apart: two members that are joined
+already need no link of their own. In a small bucket all of them are. Full buckets that share members make a group, whose
+members are told apart by what differs from the set of shingles that most of them have: a pair whose differences have nothing
+in common is similar only if both are similar to the member that differs least, too, and any other similar pair shares some
+of its rarest differences, on which it meets (a prefix filter). So no pair is lost, and no group is squared: what is compared
+are members with edits in common.
 
 Samples suffice to miss a pair at the threshold with a probability below 1e-7.
 
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bytes_of, discard, mix, staged
 from tidemark.llm.components import components
 from tidemark.llm.words import LOWER, rolling, word_hashes
+from tidemark.operators.skew import left_join
 
 SHINGLE = 4
 SAMPLES = 128
@@ -40,8 +45,7 @@ THRESHOLD = 80
 #: A pair goes to confirmation if its sketches differ in no more bits: what similarity 0.5 leaves on average, about six
 #: deviations from what 0.8 does. Of d samples that differ 2 * d bits are flipped, some twice.
 MOST_BITS = int(SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - 0.5) / SKETCH_BITS)))
-#: Turns of comparing with centres, and the size up to which a bucket with members apart is left to the full comparison.
-TURNS = 3
+#: Members up to which a bucket is compared in full where members are apart.
 SMALL = 64
 #: Rows without an id stand in the graph under numbers from here on.
 NO_ID = 1 << 62
@@ -148,6 +152,20 @@ def _full_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, shingles binary")
 
 
+def _set_lists(docs: DataFrame) -> DataFrame:
+    """The full set of every row as a list, once for rows of one id with equal sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [own.view(np.int64) for _, own in _each(batch)]
+            values = pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))
+            offsets = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(offsets, values)], ["doc_id", "shingles"])
+
+    rows = docs.mapInArrow(run, "doc_id long, shingles array<long>").withColumn("row", F.xxhash64("shingles"))
+    return rows.dropDuplicates(["doc_id", "row"])
+
+
 def _few_bits(a: str, b: str) -> str:
     """SQL for the population count of the exclusive-or of two sketches."""
     words = SKETCH_BITS // 64
@@ -218,45 +236,113 @@ def links(docs: DataFrame, representatives: DataFrame) -> DataFrame:
     shared = staged(crowded.join(weight, "doc_id").select("band", "no", "doc_id", "weight"), "buckets")
     discard(crowded)
     facts = representatives.select("doc_id", "n_shingles", "sketch")
-    edges = None
-    placed = shared.withColumn("label", F.col("doc_id"))
-    for turn in range(TURNS):
-        # Each bucket has a centre, first the member with most company, then others; each member is compared with one
-        # centre of its buckets.
-        rank = -F.col("weight") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
-        centre = F.min(F.struct(rank.alias("rank"), "doc_id", "label")).alias("c")
-        spread = (F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
-        centres = placed.groupBy("band").agg(centre, *spread).where("low < high")
-        # Small buckets need no centres: what follows compares their members in full anyway.
-        if (centres.agg(F.max("n")).first()[0] or 0) <= SMALL:
-            break
-        one = F.min(F.struct("c.rank", "c.doc_id")).alias("c")
-        stars = placed.join(centres.select("band", "c"), "band").where("label <> c.label").groupBy("doc_id").agg(one)
-        pairs = stars.select(F.least("doc_id", "c.doc_id").alias("a"), F.greatest("doc_id", "c.doc_id").alias("b")).distinct()
-        found = _similar(pairs, facts, docs)
-        if found.isEmpty():
-            continue
-        edges = found if edges is None else edges.union(found)
-        labels = components(edges)
-        before, placed = placed, staged(_labelled(shared, labels), "placed")
-        discard(before, labels)
-    # What is left is compared in full: in every bucket the members outside its largest component with all others. A pair
-    # meets in the first of its common buckets only.
+    # Each bucket has a centre, the member with most company; each member is compared with one centre of its buckets.
+    centre = F.min(F.struct((-F.col("weight")).alias("rank"), "doc_id")).alias("c")
+    centres = shared.groupBy("band").agg(centre)
+    one = F.min(F.struct("c.rank", "c.doc_id")).alias("c")
+    stars = shared.join(centres, "band").where("doc_id <> c.doc_id").groupBy("doc_id").agg(one)
+    pairs = stars.select(F.least("doc_id", "c.doc_id").alias("a"), F.greatest("doc_id", "c.doc_id").alias("b")).distinct()
+    edges = _similar(pairs, facts, docs)
+    labels = components(edges)
+    placed = staged(_labelled(shared, labels), "placed")
+    discard(shared, labels)
+    # Buckets with members apart: their size and the component that most of their members are in.
     counts = placed.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.groupBy("band").agg(F.max_by("label", "n").alias("largest"), F.count(F.lit(1)).alias("labels"))
-    open_ = placed.join(largest.where("labels > 1").select("band", "largest"), "band")
-    open_ = staged(open_.join(representatives.select("doc_id", "n_shingles", "sketch", "bands"), "doc_id"), "open")
+    spread = (F.sum("n").alias("members"), F.max_by("label", F.struct("n", "label")).alias("largest"), F.count(F.lit(1)).alias("labels"))
+    apart = staged(counts.groupBy("band").agg(*spread).where("labels > 1").drop("labels"), "apart")
+    few = _across_small(placed, apart.where(F.col("members") <= SMALL), representatives)
+    full = placed.join(apart.where(F.col("members") > SMALL).select("band"), "band", "left_semi")
+    many = _across_full(full, docs)
+    found = _similar(staged(few.union(many).distinct(), "across"), facts, docs)
+    discard(placed, apart)
+    return components(edges.union(found))
+
+
+def _across_small(placed: DataFrame, apart: DataFrame, representatives: DataFrame) -> DataFrame:
+    """Pairs (a, b) of small buckets: the members outside a bucket's largest component with all others.
+
+    A pair meets in the first of its common buckets only.
+    """
+    open_ = placed.join(apart.select("band", "largest"), "band").join(representatives.select("doc_id", "bands"), "doc_id")
+    open_ = staged(open_, "open")
     first = "array_position(zip_with(x.bands, y.bands, (p, q) -> p = q), true) = x.no + 1"
-    apart = "x.band = y.band AND x.label <> y.label AND (y.label = y.largest OR x.doc_id < y.doc_id)"
-    across = (
-        open_.where("label <> largest").alias("x")
-        .join(open_.alias("y"), F.expr(f"{apart} AND {_alike('x', 'y')} AND {first}"))
-        .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+    apart_ = "x.band = y.band AND x.label <> y.label AND (y.label = y.largest OR x.doc_id < y.doc_id)"
+    across = open_.where("label <> largest").alias("x").join(open_.alias("y"), F.expr(f"{apart_} AND {first}"))
+    return across.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+
+
+def _across_full(full: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of full buckets, given as (band, doc_id, label): all that can be similar and are in two components, or
+    as many that joining the similar ones of these joins them all.
+
+    With D the difference of a set from its group's centre and S = 9 * |D| - |set|, two members are similar if and only if
+    18 * |D and D'| >= S + S'. The centre decides how many pairs meet, not which are found.
+    """
+    spark = full.sparkSession
+    head = full.groupBy("band").agg(F.min("doc_id").alias("a"))
+    if head.isEmpty():
+        return spark.createDataFrame([], "a long, b long")
+    groups = components(full.join(head, "band").select("a", F.col("doc_id").alias("b")))
+    members = full.select("doc_id", "label").distinct().join(groups.withColumnRenamed("component", "group"), "doc_id")
+    members = staged(members, "members")
+    discard(groups)
+    wanted = members.select("doc_id")
+    few = F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted
+    sets = staged(_set_lists(docs.join(few, "doc_id", "left_semi")), "group-sets")
+    members = members.join(sets, "doc_id")
+    # The centre: shingles of more than half of a group's members.
+    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
+    held = _exploded(members, "shingles").groupBy("group", "shingle").agg(F.count(F.lit(1)).alias("n"))
+    centres = held.join(sizes, "group").where("2 * n > members").groupBy("group").agg(F.sort_array(F.collect_list("shingle")).alias("centre"))
+    differing = staged(_differences(left_join(members, centres, "group", spread_by=["doc_id"])), "differences")
+    discard(sets)
+    # The largest component of a group, its least S and the member that has it, and the least S outside that component.
+    labels = differing.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("s", "doc_id")).alias("own"))
+    per_group = labels.groupBy("group").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.min("own").alias("least"))
+    outside = labels.join(per_group, "group").where("label <> largest").groupBy("group").agg(F.min("own.s").alias("outside"))
+    facts = staged(per_group.join(outside, "group"), "group-facts")
+    known = left_join(differing, facts, "group", spread_by=["doc_id"]).where("largest IS NOT NULL")
+    by_least = known.where("doc_id <> least.doc_id AND s + least.s <= 0").select(F.col("doc_id").alias("a"), F.col("least.doc_id").alias("b"))
+    # Differences by rarity in the group; ties by the hash.
+    rare = _exploded(differing, "differs").groupBy("group", "shingle").agg(F.count(F.lit(1)).alias("n"))
+    ordered = (
+        _exploded(known, "differs", "doc_id", "row", "label", "s", "n_differs", "largest", "least", "outside")
+        .join(rare, ["group", "shingle"])
+        .groupBy("group", "doc_id", "row", "label", "s", "n_differs", "largest", "least", "outside")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("ordered"))
     )
-    found = confirmed(staged(across, "across"), docs)
-    discard(open_)
-    edges = found if edges is None else edges.union(found)
-    return components(edges)
+    ordered = staged(ordered, "ordered")
+
+    def prefixes(rows: DataFrame, other: str) -> DataFrame:
+        """The rarest differences, one of which must be shared for the overlap that a partner with S = other asks for."""
+        overlap = F.greatest(F.lit(1), F.ceil((F.col("s") + F.col(other)) / 18)).cast("int")
+        longest = F.greatest(F.lit(0), F.col("n_differs") - overlap + 1)
+        cut = rows.withColumn("ordered", F.slice("ordered", F.lit(1), longest))
+        return cut.select("group", "doc_id", "label", "s", "n_differs", "largest", F.posexplode("ordered").alias("at", "d")).withColumn("shingle", F.col("d.shingle"))
+
+    x = prefixes(ordered.where("label <> largest"), "least.s").alias("x")
+    y = prefixes(ordered, "outside").alias("y")
+    meet = "x.group = y.group AND x.shingle = y.shingle AND x.label <> y.label AND (y.label = y.largest OR x.doc_id < y.doc_id)"
+    # From the first shared difference on, this many can be shared at most.
+    reach = "x.s + y.s > 0 AND 18 * least(x.n_differs - x.at, y.n_differs - y.at) >= x.s + y.s"
+    sharing = x.join(y, F.expr(f"{meet} AND {reach}")).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+    found = by_least.union(sharing).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = staged(found, "sharing")
+    discard(members, differing, facts, ordered)
+    return found
+
+
+def _exploded(rows: DataFrame, lists: str, *others: str) -> DataFrame:
+    """(group, shingle) and other columns for every entry of a list."""
+    return rows.select("group", *others, F.explode(lists).alias("shingle"))
+
+
+def _differences(rows: DataFrame) -> DataFrame:
+    """doc_id, row, label, group, the difference of every set from the centre, its size and S."""
+    centre = F.coalesce("centre", F.array().cast("array<long>"))
+    differs = F.concat(F.array_except("shingles", centre), F.array_except(centre, "shingles"))
+    found = rows.select("doc_id", "row", "label", "group", F.size("shingles").alias("size"), differs.alias("differs"))
+    return found.withColumn("n_differs", F.size("differs")).withColumn("s", (9 * F.col("n_differs") - F.col("size")).cast("long")).drop("size")
 
 
 def _labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
