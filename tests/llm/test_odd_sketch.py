@@ -61,6 +61,46 @@ def test_equals_brute_force(frame, rows, corpus, prose):
     assert len({r[2] for r in want}) < len(want) - 50
 
 
+def edited(prose, count, seed):
+    """Copies of a text that is not among them: edits of their own, edits in common, few and many."""
+    source = random.Random(seed)
+    base = prose(100).split()
+    variants = [source.sample(range(100), 9) for _ in range(12)]
+    made = []
+    for i in range(count):
+        changed = list(base)
+        for place in source.sample(range(100), source.choice((1, 2, 3, 3, 5, 7))):
+            changed[place] = f"own{i}x{place}"
+        if i % 4 == 0:
+            for place in variants[i // 4 % 12][: source.randint(4, 9)]:
+                changed[place] = f"common{i // 4 % 12}x{place}"
+        made.append((i, " ".join(changed)))
+    return made
+
+
+def test_full_buckets_equal_brute_force(frame, rows, prose, monkeypatch):
+    """Links that only edits in common make are found in groups that are not compared pair by pair."""
+    monkeypatch.setattr(odd_sketch, "SMALL", 8)
+    data = edited(prose, 500, 3) + [(10_000 + i, t) for i, t in edited(prose, 150, 4)]
+    data += [(None, data[40][1]), (3, data[44][1]), (3, data[45][1])]
+    got, want = rows(odd_sketch.near_duplicates(frame(data, "doc_id long, text string")).drop("text_key")), brute(data)
+    assert got == want and 3 < len({r[2] for r in want}) < 600
+
+
+def test_full_buckets_are_not_squared(frame, prose, monkeypatch):
+    """Far fewer pairs than members outside the largest component times all members; those with edits in common are left."""
+    sizes = {}
+
+    def counted(df, label):
+        sizes[label] = sizes.get(label, 0) + df.count()
+        return real(df, label)
+
+    real = odd_sketch.staged
+    monkeypatch.setattr(odd_sketch, "staged", counted)
+    odd_sketch.near_duplicates(frame(edited(prose, 1_000, 5), "doc_id long, text string")).collect()
+    assert sizes["members"] > 900 and sizes["sharing"] < 15_000
+
+
 def test_no_documents(frame):
     assert odd_sketch.near_duplicates(frame([], "doc_id long, text string")).collect() == []
 
