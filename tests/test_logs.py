@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import logs as ops
 from tidemark.plans.logs import log_records, write_records
-from tidemark.sinks.files import staged
+from tidemark.workdir import staged
 from tidemark.sources.loglines import number_lines, read_log_lines
 
 DAY = date(2024, 2, 1)

@@ -107,3 +107,9 @@ def contains_any(text: Column, terms: Sequence[str]) -> Column:
     if "" in terms:
         return text.isNotNull()
     return text.rlike(any_term_pattern(terms))
+
+
+def grams(text: Column, size: int) -> Column:
+    """The distinct substrings of ``size`` characters, cut from the text one phase after the other, so in linear time."""
+    phases = [F.regexp_extract_all(F.substring(text, k + 1, 2**31 - 1), F.lit(f"(?s).{{{size}}}"), F.lit(0)) for k in range(size)]
+    return F.array_distinct(F.concat(*phases))

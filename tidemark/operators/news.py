@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed_values import BRAND_TERMS, MARKET_TERMS
 from tidemark.functions import columns as c
+from tidemark.operators.skew import left_join
 from tidemark.schemas import NEWS
+from tidemark.workdir import staged
 
 # Terms of one compiled pattern, terms that are compiled at all, and characters of a term that texts are looked up by.
 TERMS_PER_PATTERN = 5_000
@@ -51,33 +53,47 @@ def keyword_semi_join(
 ) -> DataFrame:
     """Rows whose content contains any dictionary term.
 
-    The dictionary is counted first. A small one is compiled into patterns, each walked once per text. A larger one stays
-    a table: terms and texts meet on a gram, the first characters of a term, and a text is tested against the terms whose
-    gram it has. Neither way compares every text with every term.
+    The dictionary is counted first. A small one is compiled into patterns, each walked once per text. A larger one becomes
+    an index. Neither way compares every text with every term.
     """
     terms = dictionary.select(F.col(term).alias("_term")).where(F.col("_term").isNotNull()).distinct()
     if terms.count() <= max_pattern_terms:
         found = sorted(row[0] for row in terms.collect())
         blocks = [found[i : i + TERMS_PER_PATTERN] for i in range(0, len(found), TERMS_PER_PATTERN)]
         return news.where(reduce(lambda a, b: a | b, [c.contains_any(content(), block) for block in blocks], F.lit(False)))
+    if not terms.where(F.col("_term") == "").isEmpty():
+        return news.where(content().isNotNull())
     own = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in news.columns]
     # Equal rows may share a number: they contain the same terms.
-    numbered = news.withColumn("_content", content()).withColumn("_row", F.struct(F.xxhash64(F.lit(1), *own), F.xxhash64(F.lit(2), *own)))
-    by_gram = terms.where(F.col("_term") != "").withColumn("_gram", F.substring("_term", 1, GRAM))
-    letters = F.split("_content", "")
+    key = F.struct(F.xxhash64(F.lit(1), *own), F.xxhash64(F.lit(2), *own))
+    numbered = news.withColumn("_content", content()).withColumn("_row", key)
+    candidates = candidate_terms(numbered, terms, "_content", "_row")
+    tested = numbered.join(candidates, "_row")
+    return tested.where(F.exists("_terms", lambda t: F.contains("_content", t))).select(*news.columns)
 
-    def grams(n: int) -> Column:
-        long = F.transform(F.col("_letters"), lambda x, i: F.concat(x, *[F.get("_letters", i + k) for k in range(1, n)]))
-        return F.filter(long, lambda x: x.isNotNull())
 
-    every = F.array_distinct(F.concat(*[grams(n) for n in range(1, GRAM + 1)]))
-    of_text = numbered.select("_row", letters.alias("_letters")).select("_row", F.explode(every).alias("_gram"))
-    candidates = of_text.join(by_gram, "_gram").groupBy("_row").agg(F.collect_set("_term").alias("_terms"))
-    tested = numbered.join(candidates, "_row")
-    hits = tested.where(F.exists("_terms", lambda t: F.contains("_content", t))).select(*news.columns)
-    if terms.where(F.col("_term") == "").isEmpty():
-        return hits
-    return news.where(content().isNotNull())
+def candidate_terms(numbered: DataFrame, terms: DataFrame, text: str, row: str) -> DataFrame:
+    """``row`` and ``_terms``, the terms that a text may contain, of the texts that may contain any.
+
+    Texts are cut into grams once and only grams of the dictionary go on, which takes no shuffle as long as Spark may
+    broadcast these. Their counts give every term its rarest gram, under which it stands in the index; a term with a gram
+    that no text has is in no text. The terms of a gram are one row, so a hot gram adds one row per text, and texts of hot
+    grams are spread over salted groups.
+    """
+    size = F.least(F.char_length("_term"), F.lit(GRAM))
+    parts = [F.when(size == n, c.grams(F.col("_term"), n)) for n in range(1, GRAM + 1)]
+    by_term = terms.select("_term", F.explode(F.coalesce(*parts)).alias("_gram"))
+    wanted = staged(by_term.select("_gram").distinct(), "dictionary-grams")
+    sizes = [r[0] for r in wanted.select(F.char_length("_gram")).distinct().collect()]
+    every = F.concat(*[c.grams(F.col(text), n) for n in sizes]) if sizes else F.array().cast("array<string>")
+    of_text = staged(numbered.select(row, F.explode(every).alias("_gram")).join(wanted, "_gram", "left_semi"), "grams")
+    counts = of_text.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    # A gram that no text has comes first: such a term needs no place in the index.
+    rarest = F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_gram")).alias("_least")
+    placed = by_term.join(counts, "_gram", "left").groupBy("_term").agg(rarest).where("_least._n > 0")
+    index = staged(placed.groupBy(F.col("_least._gram").alias("_gram")).agg(F.collect_list("_term").alias("_terms")), "gram-index")
+    met = left_join(of_text, index, "_gram", spread_by=[row]).where(F.col("_terms").isNotNull())
+    return met.groupBy(row).agg(F.flatten(F.collect_list("_terms")).alias("_terms"))
 
 
 def to_messages(news: DataFrame) -> DataFrame:

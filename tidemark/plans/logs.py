@@ -7,7 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 
 from tidemark.operators.logs import multiline, parse_parts
-from tidemark.sinks.files import staged, write_partitioned
+from tidemark.sinks.files import write_partitioned
+from tidemark.workdir import staged
 
 
 def log_records(lines: DataFrame, run_date: date, block: Column | None = None, **options) -> DataFrame:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql.types import ArrayType, StructType
 
 from tidemark.operators.merge import new_rows, upsert_by_key
 from tidemark.schemas import RAW
-from tidemark.workdir import drop_folder, fresh_dir
+from tidemark.workdir import drop_folder, staging
 
 
 def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -104,24 +103,6 @@ def publish_snapshot(
         publish_files(spark, f"{source_root}/{relative}", f"{target_root}/{relative}/data.parquet", RAW[entity])
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read back: computed once, with a known size."""
-    path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def staging(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """``staged`` rows that are deleted when the work that needs them is done or has failed."""
-    path = fresh_dir(df.sparkSession, label)
-    try:
-        df.write.parquet(path)
-        yield df.sparkSession.read.schema(df.schema).parquet(path)
-    finally:
-        drop_folder(df.sparkSession, path)
-
-
 def _touched(spark: SparkSession, path: str, source: DataFrame, by: str) -> DataFrame | None:
     """The rows of the target's partitions that the source has rows for, or None when it has no rows.
 

@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.columns import utc_date
 from tidemark.operators.logs import drop_noise, multiline, parse_parts, parse_records
-from tidemark.sinks.files import staged, write_partitioned
+from tidemark.sinks.files import write_partitioned
+from tidemark.workdir import staged
 from tidemark.sources.loglines import number_lines
 
 
