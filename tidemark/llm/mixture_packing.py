@@ -49,8 +49,10 @@ QUEUES = 256
 FAN = 32
 #: Turns whose places are worked out at a time.
 TURNS = 16_384
-#: Words remembered per Python worker.
-CACHE_WORDS = 1_000_000
+#: Words remembered in a task, some 250 bytes each; between tasks a Python worker keeps those that its last texts used again.
+CACHE_WORDS = 400_000
+#: Bytes of text whose words are listed at a time.
+STEP = 4 << 20
 CACHE_LENGTH = 64
 #: Bytes of text in a row of the token table, unless a single document is longer.
 ROW_BYTES = 8 << 20
@@ -78,12 +80,19 @@ class WordCoder:
             self.parts = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + b")")
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[bytes, bytes] = {}
+        self.again: set[bytes] = set()
         # A character that is one token by itself parts new words, so that many are coded in one call.
         alone = ((c, self._ids(c)) for c in "`^~|")
         self.mark, self.mark_id = next(((c, ids[0]) for c, ids in alone if len(ids) == 1), (None, -1))
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        # The fast form keeps no offsets, which nobody asks for here.
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def rest(self) -> None:
+        """Forgets, when a task ends, all words but those that were met again."""
+        self.known = {w: self.known[w] for w in self.again if w in self.known}
+        self.again = set()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as packed numbers of ``kind``."""
@@ -103,31 +112,45 @@ class WordCoder:
         return packed
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
+        packed, first, held = [], 0, 0
+        for i, text in enumerate(texts):
+            held += len(text)
+            if held >= STEP or i == len(texts) - 1:
+                packed += self._some(texts[first : i + 1])
+                first, held = i + 1, 0
+        return packed
+
+    def _some(self, texts: list[bytes]) -> list[bytes]:
         # The tokenizer lower-cases; doing so for A-Z first means fewer words, but must not come before a combining mark.
         words = [(t if b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
-        here = {w for ws in words for w in ws}
+        here = set().union(*words)
+        new = here.difference(self.known)
+        self.again = before = here - new
         if len(self.known) > CACHE_WORDS:
             # What these texts use goes on being remembered: most of it is frequent.
-            self.known = {w: self.known[w] for w in here if w in self.known}
-        known = self.known
-        new = [w for w in here if w not in known]
-        for i in range(0, len(new), 4096):
-            known.update(self._coded(new[i : i + 4096]))
-        packed = [b"".join([known[w] for w in ws]) for ws in words]
-        for word in new:
+            self.known = {w: self.known[w] for w in before}
+        known, fresh = self.known, list(new)
+        for i in range(0, len(fresh), 4096):
+            known.update(self._coded(fresh[i : i + 4096]))
+        packed = [b"".join(map(known.__getitem__, ws)) for ws in words]
+        for word in fresh:
             if len(word) > CACHE_LENGTH:
                 del known[word]
         return packed
 
     def _coded(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        own = [w for w in words if self.mark is None or self.mark.encode() in w]
-        joint = [w for w in words if self.mark is not None and self.mark.encode() not in w]
+        mark = (self.mark or "").encode()
+        # Without a mark nothing is joint: the empty string is in every word.
+        joint = [w for w in words if mark not in w]
+        own = words if not joint else [w for w in words if mark in w] if len(joint) < len(words) else []
         if joint:
-            ids = np.array(self._ids(f" {self.mark} ".join(w.decode() for w in joint)), self.kind)
-            marks = np.flatnonzero(ids == self.mark_id).tolist()
+            ids = np.array(self._ids((b" " + mark + b" ").join(joint).decode()), self.kind)
+            marks = np.flatnonzero(ids == self.mark_id)
             if len(marks) == len(joint) - 1:
-                for word, a, b in zip(joint, [0, *(m + 1 for m in marks)], [*marks, len(ids)], strict=True):
-                    yield word, ids[a:b].tobytes()
+                packed, size = ids.tobytes(), ids.itemsize
+                starts, ends = (np.append(0, marks + 1) * size).tolist(), (np.append(marks, len(ids)) * size).tolist()
+                for word, a, b in zip(joint, starts, ends, strict=True):
+                    yield word, packed[a:b]
             else:
                 own = words
         for word in own:
@@ -354,6 +377,7 @@ def tokenised(
                         ["row", "ids", "sources", "counts", "tokens", "held"],
                     )
                     texts, held, first, n = [], 0, i + 1, n + 1
+        coder.rest()
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text")
