@@ -8,8 +8,9 @@ from tidemark.entrypoints import bindings as b
 from tidemark.operators import logs as ops
 from tidemark.plans import logs as plans
 from tidemark.sources.loglines import number_lines, read_log_lines
+from tidemark.sources.tail import tail_log_lines
 from tidemark.streaming import logs as streams
-from tidemark.workdir import fresh_dir
+from tidemark.workdir import fresh_dir, swap_folder
 
 FIELDS = [
     "log_epoch", "file", "line", "log_level", "task_status", "dag_id", "task_id", "execution_date", "start_date",
@@ -32,10 +33,11 @@ def log_scan(spark, sf):
     return read_log_lines(spark, _log_files(spark, sf)).select("message", "service", "log_type")
 
 
-def _task_files(spark, sf):
-    """Log files of a thousand lines each, in the table's order."""
+def _task_files(spark, sf, most=1000):
+    """Log files of a thousand lines each, or of the first of these, in the table's order."""
     path = fresh_dir(spark, "logs")
-    per_task = b.log_lines(spark, sf).withColumn("task", F.floor(F.col("line_no") / 1000))
+    lines = b.log_lines(spark, sf).where(F.col("line_no") % 1000 < most)
+    per_task = lines.withColumn("task", F.floor(F.col("line_no") / 1000))
     lines = per_task.groupBy("task").agg(F.array_sort(F.collect_list(F.struct("line_no", "message"))).alias("lines"))
     lines.select("task", F.array_join("lines.message", "\n").alias("value")).write.partitionBy("task").text(path)
     return path
@@ -81,6 +83,17 @@ def log_stream_events(spark, sf):
     return _streamed(spark, _task_files(spark, sf), join_lines=True)
 
 
+def log_tail_events(spark, sf):
+    """Log files that grow between two runs and have other names in the second: every line once, events over both runs."""
+    live, path, checkpoint = (fresh_dir(spark, n) for n in ("live", "records", "offsets"))
+    for most in (617, 1000):
+        swap_folder(spark, _task_files(spark, sf, most), live)
+        lines = tail_log_lines(spark, live, f"{checkpoint}-registry.json", "part-*.txt")
+        streams.tail_to_table(lines, path, checkpoint, b.RUN_DATE).awaitTermination()
+    streams.close_events(spark, path, checkpoint, b.RUN_DATE)
+    return _epoch(spark.read.parquet(path)).select("message", "service", "log_type", *FIELDS)
+
+
 def _streamed(spark, source, **options):
     path, checkpoint = fresh_dir(spark, "records"), fresh_dir(spark, "offsets")
     for _ in range(2):
@@ -152,6 +165,7 @@ QUERIES = {
     "log_long_events": log_long_events,
     "log_stream_ingest": log_stream_ingest,
     "log_stream_events": log_stream_events,
+    "log_tail_events": log_tail_events,
 }
 
 ORACLE = {
@@ -178,3 +192,4 @@ ORACLE = {
         "message, service, log_type",
     ),
 }
+ORACLE["log_tail_events"] = ORACLE["log_stream_events"]

@@ -42,6 +42,12 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if there is no such folder."""
+    system, place = _file_system(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(place)] if system.exists(place) else []
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder if it is there."""
     system, place = _file_system(spark, path)
