@@ -49,8 +49,8 @@ QUEUES = 256
 FAN = 32
 #: Turns whose places are worked out at a time.
 TURNS = 16_384
-#: Words remembered in a task, some 250 bytes each; between tasks a Python worker keeps those that its last texts used again.
-CACHE_WORDS = 400_000
+#: Words remembered in a task, some 250 bytes each, and those met again that a Python worker keeps between tasks.
+CACHE_WORDS, KEPT_WORDS = 500_000, 200_000
 #: Bytes of text whose words are listed at a time.
 STEP = 4 << 20
 CACHE_LENGTH = 64
@@ -125,10 +125,12 @@ class WordCoder:
         words = [(t if b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
         here = set().union(*words)
         new = here.difference(self.known)
-        self.again = before = here - new
+        before = here - new
+        if len(self.again) < KEPT_WORDS:
+            self.again |= before
         if len(self.known) > CACHE_WORDS:
-            # What these texts use goes on being remembered: most of it is frequent.
-            self.known = {w: self.known[w] for w in before}
+            # What was met again goes on being remembered: most of it is frequent.
+            self.known = {w: self.known[w] for w in self.again | before if w in self.known}
         known, fresh = self.known, list(new)
         for i in range(0, len(fresh), 4096):
             known.update(self._coded(fresh[i : i + 4096]))
