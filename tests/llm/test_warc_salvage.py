@@ -105,3 +105,45 @@ def test_missing_file_fails(spark, tmp_path):
 
 def test_no_pages(frame):
     assert warc_salvage.page_records(frame([], "page_id long, url string, html string")).collect() == []
+
+
+def plain_record(number, payload, extra=b"", digest=True):
+    claim = f"WARC-Payload-Digest: sha256:{hashlib.sha256(payload).hexdigest()}\r\n".encode() if digest else b""
+    head = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x:%d>\r\n" % number + claim + extra
+    return head + b"Content-Length: %d\r\n\r\n" % len(payload) + payload + b"\r\n\r\n"
+
+
+def numbers(found):
+    return [int(r.headers["warc-record-id"][7:-1]) for r in found if isinstance(r, Record)]
+
+
+def test_long_headers_are_read_whole():
+    data = plain_record(1, b"a" * 200, b"WARC-Target-URI: http://x/" + b"y" * 200_000 + b"\r\n") + plain_record(2, b"b")
+    assert numbers(salvage(io.BytesIO(data))) == [1, 2]
+    # A header whose blank line is lost ends at the next version line.
+    broken = plain_record(1, b"a" * 200).replace(b"\r\n\r\n", b"\r\n", 1).replace(b"\r\n\r\n", b"\r\n") + plain_record(2, b"b")
+    found = list(salvage(io.BytesIO(broken)))
+    assert numbers(found) == [2] and isinstance(found[0], Gap)
+
+
+def test_members_of_several_records():
+    parts = [plain_record(i, bytes([65 + i]) * 3000, digest=i % 2 == 0) for i in range(4)]
+    whole = gzip.compress(b"".join(parts))
+    tail = gzip.compress(plain_record(9, b"z"))
+    assert numbers(salvage(io.BytesIO(whole + tail))) == [0, 1, 2, 3, 9]
+    # Damage to one of them loses that one.
+    bad = parts[2].replace(b"C" * 3000, b"C" * 2999 + b"x")
+    found = list(salvage(io.BytesIO(gzip.compress(parts[0] + parts[1] + bad + parts[3]) + tail)))
+    assert numbers(found) == [0, 1, 3, 9] and sum(isinstance(f, Gap) for f in found) == 1
+
+
+def test_a_member_that_breaks_off_keeps_what_passed():
+    source = random.Random(1)
+    parts = [plain_record(i, source.randbytes(40_000)) for i in range(4)]
+    whole = gzip.compress(b"".join(parts))
+    tail = gzip.compress(plain_record(9, b"z"))
+    found = list(salvage(io.BytesIO(whole[:110_000] + tail)))
+    assert numbers(found) == [0, 1, 9] and sum(isinstance(f, Gap) for f in found) == 1
+    # Without digests nothing vouches for them but the checksum.
+    parts = [plain_record(i, source.randbytes(40_000), digest=False) for i in range(4)]
+    assert numbers(salvage(io.BytesIO(gzip.compress(b"".join(parts))[:110_000] + tail))) == [9]

@@ -125,39 +125,84 @@ def payload_of(record: Record) -> bytes:
     return record.block
 
 
-def _verified(record: Record) -> Record:
+def _claimed(record: Record) -> str:
+    """The digest that a response says its payload has, if it can be checked."""
     claimed = record.headers.get("warc-payload-digest", "")
-    if record.headers["warc-type"] == "response" and claimed.startswith("sha256:"):
-        if hashlib.sha256(payload_of(record)).hexdigest() != claimed[7:].lower():
-            raise Damaged("the payload digest differs")
+    return claimed[7:].lower() if record.headers["warc-type"] == "response" and claimed.startswith("sha256:") else ""
+
+
+def _verified(record: Record) -> Record:
+    claimed = _claimed(record)
+    if claimed and hashlib.sha256(payload_of(record)).hexdigest() != claimed:
+        raise Damaged("the payload digest differs")
     return record
 
 
-def _member(window: Window, at: int) -> Record:
-    inflate = zlib.decompressobj(31)
-    parts, here = [], at
-    try:
-        while not inflate.eof:
-            chunk = window.peek(here, CHUNK)
+class Inflated:
+    """The content of a gzip member as a stream that ends where the member ends or breaks off."""
+
+    def __init__(self, window: Window, at: int):
+        self.window, self.at, self.here, self.fault = window, at, at, ""
+        self.inflate = zlib.decompressobj(31)
+
+    def read(self, _: int) -> bytes:
+        while not self.inflate.eof and not self.fault:
+            chunk = self.window.peek(self.here, CHUNK >> 4)
+            self.here += len(chunk)
+            try:
+                data = self.inflate.decompress(chunk)
+            except zlib.error:
+                self.fault = "the member doesn't inflate"
+                return b""
+            if data:
+                return data
             if not chunk:
-                raise Damaged("the member is cut short")
-            parts.append(inflate.decompress(chunk))
-            if here == at and not VERSION.startswith(parts[0][:7]) and len(parts[0]) >= 7:
-                raise Damaged("the member holds no record")
-            here += len(chunk)
-    except zlib.error as error:
-        raise Damaged("the member doesn't inflate") from error
-    raw = b"".join(parts)
-    headers, body = _parse(raw)
-    size = int(headers["content-length"])
-    if len(raw) != body + size + len(END) or not raw.endswith(END):
-        raise Damaged("the length differs")
-    return _verified(Record(at, here - len(inflate.unused_data) - at, headers, raw[body : body + size]))
+                self.fault = "the member is cut short"
+        return b""
+
+    @property
+    def length(self) -> int:
+        """Compressed bytes so far; of the whole member once it has ended."""
+        return self.here - len(self.inflate.unused_data) - self.at
+
+
+def _member(window: Window, at: int) -> Iterator[Record | Gap | int]:
+    """Records of a member and gaps between them, as they come, and the member's length if it is whole.
+
+    A record that claims no digest waits for the checksum of its member. All have the member's offset; the last piece of a
+    whole member has its length, the others none.
+    """
+    stream = Inflated(window, at)
+    inner = Window(stream)
+    if inner.peek(0, len(VERSION)) != VERSION:
+        raise Damaged(stream.fault or "the member holds no record")
+    waiting, gaps, passed = [], [], False
+    for found in _walk(inner, members=False):
+        if isinstance(found, Gap):
+            gaps.append(found)
+        elif _claimed(found) and inner.more():
+            passed = True
+            yield found._replace(offset=at, length=0)
+        else:
+            waiting.append(found)
+    whole = not stream.fault
+    kept = [record for record in waiting if whole or _claimed(record)]
+    if not whole or not (passed or kept):
+        yield from (record._replace(offset=at, length=0) for record in kept)
+        raise Damaged(stream.fault or gaps[0].reason)
+    pieces = [*kept, *(Gap(at, 0, f"inside a member: {gap.reason}") for gap in gaps)]
+    for number, piece in enumerate(pieces, 1):
+        yield piece._replace(offset=at, length=stream.length if number == len(pieces) else 0)
+    yield stream.length
 
 
 def _plain(window: Window, at: int) -> Record:
-    # Headers are short; a lost blank line must not make the whole file one header.
-    head = window.peek(at, 1 << 16)
+    # Headers end before the next version line: a lost blank line must not make the rest of the file one header.
+    size = CHUNK >> 4
+    while END not in (head := window.peek(at, size)):
+        if VERSION in head[1:] or len(head) < size:
+            raise Damaged("headers without an end")
+        size *= 2
     headers, body = _parse(head)
     size = int(headers["content-length"])
     raw = window.peek(at + body, size + len(END))
@@ -167,27 +212,37 @@ def _plain(window: Window, at: int) -> Record:
 
 
 def salvage(stream) -> Iterator[Record | Gap]:
-    """All whole records of a stream in order, and the gaps between them."""
-    window, at, gap, why = Window(stream), 0, -1, ""
+    """All whole records of a stream in order, and the gaps between them.
+
+    A gzip member may hold any number of records. Of a member that breaks off, those that pass before the break are kept.
+    """
+    yield from _walk(Window(stream), members=True)
+
+
+def _walk(window: Window, members: bool) -> Iterator[Record | Gap]:
+    at, gap, why = 0, -1, ""
     while start := window.peek(at, len(VERSION)):
         try:
-            if start.startswith(GZIP):
-                record = _member(window, at)
+            if members and start.startswith(GZIP):
+                found = _member(window, at)
             elif start == VERSION:
                 record = _plain(window, at)
+                found = iter((record, record.length))
             else:
-                raise Damaged("neither a member nor a version line")
+                raise Damaged("neither a member nor a version line" if members else "no version line")
+            for part in found:
+                if isinstance(part, int):
+                    at += part
+                    window.forget(at)
+                    continue
+                if gap >= 0:
+                    yield Gap(gap, at - gap, why)
+                    gap = -1
+                yield part
         except Damaged as error:
             if gap < 0:
                 gap, why = at, str(error)
             at = window.next_start(at + 1)
-            continue
-        if gap >= 0:
-            yield Gap(gap, at - gap, why)
-            gap = -1
-        yield record
-        at += record.length
-        window.forget(at)
     if gap >= 0:
         yield Gap(gap, at - gap, why)
 
