@@ -39,7 +39,7 @@ from tidemark.llm.chunks import (
     unpack,
     with_answers,
 )
-from tidemark.llm.common import shuffle_width
+from tidemark.llm.common import quoted, shuffle_width
 from tidemark.llm.words import rolling, within, word_hashes
 
 BLOCK = 25
@@ -279,8 +279,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return repeated_runs(docs, id_col, text_col).mapInArrow(run, ", ".join(f"{n} {t}" for n, _, t in kinds))
 
 
-def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of the documents with the repeats taken out of their texts, and ``words_removed``.
+def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed: str = "words_removed") -> DataFrame:
+    """All columns of the documents with the repeats taken out of their texts, and how many words were ``removed``.
 
     Texts without repeats stay as they are, others become their kept words, joined by one space.
     """
@@ -303,9 +303,9 @@ def cut_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 )
 
     null = F.col(text_col).isNull().alias("null")
-    keep = F.struct(null, *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(others)])
+    keep = F.struct(null, *[quoted(c).alias(f"_{i}") for i, c in enumerate(others)])
     schema = StructType([StructField("_id", LongType()), StructField("_text", StringType()), StructField("words_removed", LongType())])
     schema = StructType([*schema, *(StructField(f"_{i}", docs.schema[c].dataType) for i, c in enumerate(others))])
     found = repeated_runs(docs, id_col, text_col, keep).mapInArrow(run, schema)
     place = {id_col: "_id", text_col: "_text"} | {c: f"_{i}" for i, c in enumerate(others)}
-    return found.select(*[F.col(place[c]).alias(c) for c in docs.columns], "words_removed")
+    return found.select(*[F.col(place[c]).alias(c) for c in docs.columns], F.col("words_removed").alias(removed))

@@ -21,11 +21,17 @@ LAST_ID = 2**63 - 1
 HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Settings of Python workers' allocators: what a task frees goes back to the system and is not kept for later stages.
+FRUGAL = {"MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20), "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def importable(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import the package from where the driver did.
+    """Lets Python workers import the package from where the driver did, and keep no memory that they don't use.
 
     That is all a local session or a cluster with the package at the same place needs; others get it by ``--py-files``.
     """
+    for name, value in FRUGAL.items():
+        spark.sparkContext.environment.setdefault(name, value)
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if HOME not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [HOME])
@@ -41,6 +47,11 @@ def ranked_id(name: str) -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(LAST_ID))
 
 
+def quoted(name: str) -> Column:
+    """The column of this name, whatever the name holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 @contextmanager
 def _batch_bytes(spark: SparkSession, most: int) -> Iterator[None]:
     """Bounds Arrow batches for what is run inside, and puts the session's setting back."""

@@ -50,7 +50,7 @@ FAN = 32
 #: Turns whose places are worked out at a time.
 TURNS = 16_384
 #: Words remembered in a task, some 250 bytes each, and those met again that a Python worker keeps between tasks.
-CACHE_WORDS, KEPT_WORDS = 500_000, 200_000
+CACHE_WORDS, KEPT_WORDS = 800_000, 300_000
 #: Bytes of text whose words are listed at a time.
 STEP = 4 << 20
 CACHE_LENGTH = 64

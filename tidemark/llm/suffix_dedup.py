@@ -4,9 +4,9 @@ A byte goes if a string of WINDOW bytes that covers it also starts earlier: in a
 in the same one. Not every suffix needs sorting: every window holds an anchor, its gram with the smallest hash, and equal
 windows have equal anchors. Anchors that occur once hold no repeat. Of the others the surrounding bytes (all windows that
 share the anchor) are gathered by anchor, copies collapsed to their earliest holder before and after the shuffle. Where
-one anchor has different surroundings, the suffixes at their windows are sorted: a multikey quicksort over characters of
-eight bytes down to a shallow depth, then blind tries for the groups that still share a prefix. Suffixes that end up in
-one leaf share WINDOW bytes; all but the earliest are repeats.
+one anchor has different surroundings, the suffixes at their windows are sorted: by characters of eight bytes down to a
+shallow depth, each level of all groups at once by a library sort in place of quicksort's partitions, then by blind tries for
+the groups that still share a prefix. Suffixes that end up in one leaf share WINDOW bytes; all but the earliest are repeats.
 
 Anchors that are very frequent (a bounded list) are dealt out by the window's content instead, so no task gets a group
 that grows with the corpus.
