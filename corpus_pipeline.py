@@ -9,11 +9,11 @@ from __future__ import annotations
 from functools import reduce
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import block_anchors, fourier_quality, mixture_packing, odd_sketch, perfect_hash
-from tidemark.llm.common import importable, staged, table
+from tidemark.llm.common import importable, quoted, staged, table
 
 END_TOKEN = 2
 
@@ -24,6 +24,18 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(dropped, (docs["doc_id"].eqNullSafe(dropped["_id"])) & (F.xxhash64(docs["text"]) == dropped["_key"]), "left_anti")
 
 
+def _own(docs: DataFrame) -> list[Column]:
+    """The columns of the documents, whatever their names hold."""
+    return [quoted(name) for name in docs.columns]
+
+
+def _unused(name: str, docs: DataFrame) -> str:
+    """The name, made longer until no column has it."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that the classifier, trained on the labelled ones among them, does not reject."""
     scored = fourier_quality.quality_scores(docs, table(spark, sf_dir, "labels"))
@@ -31,15 +43,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of equal texts the document with the largest id."""
+    """Keeps of equal texts the document with the largest id; of rows that share that id, too, one stays."""
     importable(spark)
     history, incoming = perfect_hash.split_at_median(docs)
     found = perfect_hash.exact_dedup(history, incoming)
     kept = found.where("kept").select("doc_id", F.unhex("text_sha256").alias("digest")).distinct()
     normal = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    rows = docs.withColumn("_digest", F.unhex(F.sha2(normal.cast("binary"), 256)))
-    same = rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows["_digest"] == kept["digest"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
+    digest = _unused("digest", docs)
+    rows = docs.select(*_own(docs), F.unhex(F.sha2(normal.cast("binary"), 256)).alias(digest))
+    same = rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows[digest] == kept["digest"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", digest]).select(*_own(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,11 +65,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes passages that a document with a smaller id has, too, out of the texts; others stay as they are."""
     importable(spark)
-    cut = block_anchors.cut_documents(docs)
+    removed = _unused("words_removed", docs)
+    cut = block_anchors.cut_documents(docs, removed=removed)
     if "n_chars" in docs.columns:
         shorter = F.char_length("text").cast("long")
-        cut = cut.withColumn("n_chars", F.when(F.col("words_removed") > 0, shorter).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+        cut = cut.withColumn("n_chars", F.when(F.col(removed) > 0, shorter).otherwise(F.col("n_chars")))
+    return cut.select(*_own(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
