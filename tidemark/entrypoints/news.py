@@ -137,6 +137,16 @@ def news_stream_filter(spark, sf):
     return ops.parse_news(topics.read_topic(spark, "text", out))
 
 
+def news_published_once(spark, sf):
+    """Landed entries as a stream, published under a ledger in two runs on one checkpoint, and read by it."""
+    landed, out, checkpoint = (fresh_dir(spark, n) for n in ("feed", "topic", "offsets"))
+    _entries(spark, sf).write.parquet(landed)
+    for _ in range(2):
+        entries = landing.normalise_feed(spark.readStream.schema("source string, entry string").parquet(landed))
+        streams.relevant_once(entries, out, checkpoint, filters=TERMS).awaitTermination()
+    return _as_messages(spark, streams.published(spark, out))
+
+
 def _as_messages(spark, messages):
     return ops.parse_news(topics.payload(messages))
 
@@ -172,6 +182,7 @@ QUERIES = {
     "news_read_day": news_read_day,
     "news_stream_ingest": news_stream_ingest,
     "news_stream_filter": news_stream_filter,
+    "news_published_once": news_published_once,
 }
 
 ORACLE = {
@@ -202,3 +213,4 @@ WHERE ({_any_of(TERMS["brands"])}) AND ({_any_of(TERMS["markets"])})""",
     "news_stream_ingest": f"SELECT *, {b.D} AS ingest_date FROM {b.sql(b.NEWS)} r",
     "news_stream_filter": f"""SELECT {ENTRY_COLUMNS} FROM {WITH_CONTENT} c WHERE {_any_of(ALL_TERMS)}""",
 }
+ORACLE["news_published_once"] = ORACLE["news_stream_filter"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -114,6 +114,13 @@ def upsert_by_key(spark, sf):
     return rows.withColumn("doc_id", document_id(SHARE_KEYS))
 
 
+def upsert_stamped(spark, sf):
+    """The upsert with the moment of the run on every row: untouched rows keep theirs."""
+    loaded, restated = merge.stamp(_loaded(spark, sf), STAMPS[0]), merge.stamp(_restated(spark, sf), STAMPS[1])
+    rows = merge.upsert_by_key(loaded, restated, SHARE_KEYS, ["ratio"])
+    return rows.select(*SHARE_KEYS, "ratio", F.unix_seconds("updated_at").alias("updated_epoch"))
+
+
 def ordered_share_scan(spark, sf):
     return relational.ordered_share(plans.read_share(spark, _loaded_table(spark, sf))).drop("updated_at")
 
@@ -156,6 +163,7 @@ MANY_SHARES = b.share_sql(brands=MANY_BRANDS, relation=b.MANY_LABELLED)
 FIRST_SHARES = b.share_sql(f"period >= DATE '{FIRST_PERIOD}'")
 KEYS = "period, gender, age_group, brand"
 SAME_KEY = "t.period = s.period AND t.gender = s.gender AND t.age_group = s.age_group AND t.brand = s.brand"
+STAMPS = [datetime(2024, 1, 1, tzinfo=timezone.utc), datetime(2024, 2, 1, 12, tzinfo=timezone.utc)]
 UPSERTED = f"""(
 SELECT {KEYS}, ratio FROM {LOADED_SHARES} t WHERE NOT EXISTS (SELECT 1 FROM {LATER_SHARES} s WHERE {SAME_KEY})
 UNION ALL SELECT {KEYS}, ratio + 2.0 FROM {LATER_SHARES} s)"""
@@ -185,6 +193,7 @@ QUERIES = {
     "incremental_slice": lambda s, d: incremental_slice(s, d).withColumn("ratio", F.col("ratio").cast("double")),
     "insert_ignore": lambda s, d: merge.insert_ignore(_loaded(s, d), _restated(s, d), SHARE_KEYS, ["ratio"]),
     "upsert_by_key": upsert_by_key,
+    "upsert_stamped": upsert_stamped,
     "ordered_share_scan": ordered_share_scan,
     "share_dump": share_dump,
     "ddl_roundtrip": ddl_roundtrip,
@@ -218,6 +227,8 @@ UNION ALL SELECT {KEYS}, ratio + 1.0 FROM {LATER_SHARES} s
 WHERE NOT EXISTS (SELECT 1 FROM {LOADED_SHARES} t WHERE {SAME_KEY})""",
     "upsert_by_key": f"""SELECT *, concat_ws('_', CAST(period AS VARCHAR), gender, age_group, brand) AS doc_id
 FROM {UPSERTED} u""",
+    "upsert_stamped": f"""SELECT u.*, CASE WHEN EXISTS (SELECT 1 FROM {LATER_SHARES} s WHERE {SAME_KEY.replace("t.", "u.")})
+  THEN {int(STAMPS[1].timestamp())} ELSE {int(STAMPS[0].timestamp())} END::BIGINT AS updated_epoch FROM {UPSERTED} u""",
     "ordered_share_scan": f"SELECT {KEYS}, ratio FROM {LOADED_SHARES} s ORDER BY {KEYS}",
     "share_dump": f"""SELECT {KEYS}, ratio, 'parquet' AS fmt FROM {LOADED_SHARES} s
 UNION ALL SELECT {KEYS}, ratio, 'csv' FROM {LOADED_SHARES} s""",
