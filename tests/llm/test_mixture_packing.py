@@ -189,3 +189,29 @@ def test_query_codes_added_tokens(spark, tmp_path):
     tokenizer = Tokenizer.from_file(PATH)
     want = {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in texts.items()}
     assert {p["doc_id"]: p["doc_tokens"] for p in found} == want
+
+
+def test_plain_words_are_coded_without_marks_as_the_tokenizer_does():
+    with open(PATH, encoding="utf-8") as file:
+        coder = mixture_packing.WordCoder(file.read(), added_tokens=True)
+    assert coder.ends is not None
+    tokenizer, source = Tokenizer.from_file(PATH), random.Random(12)
+    parts = [*"abcdeéßüÿ÷ÃİıſÅ'stremlv.,!?$#`~|<>w/1２ 日́̈\n\t-_@[]{}^", "</w>", "<|endoftext|>", "'ll", "the ", "ing. "]
+    for _ in range(20):
+        texts = ["".join(source.choice(parts) for _ in range(source.randint(0, 40))) for _ in range(200)]
+        for text, packed in zip(texts, coder.encode([t.encode() for t in texts]), strict=True):
+            assert np.frombuffer(packed, coder.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        coder.rest()
+
+
+def test_other_splits_are_coded_between_marks():
+    import json
+
+    with open(PATH, encoding="utf-8") as file:
+        definition = json.load(file)
+    definition["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[a-z]+[.,]|[^\s]"
+    text = json.dumps(definition)
+    coder, tokenizer = mixture_packing.WordCoder(text), Tokenizer.from_str(text)
+    assert coder.ends is None
+    for words in ("word. word, word word.", "some, other. words."):
+        assert np.frombuffer(coder.encode([words.encode()])[0], coder.kind).tolist() == tokenizer.encode(words, add_special_tokens=False).ids

@@ -30,6 +30,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,14 @@ STEP = 4 << 20
 CACHE_LENGTH = 64
 #: Bytes of text in a row of the token table, unless a single document is longer.
 ROW_BYTES = 8 << 20
+#: Words looked up in one call of the tokenizer.
+CALL = 4096
+
+# Fixed value: the split of tokenizers that keep letters whole, digits single and marks together.
+LETTERS_WHOLE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words of Latin letters that no normal form changes, and the ASCII marks that may stand behind them.
+PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
 class WordCoder:
@@ -84,6 +93,15 @@ class WordCoder:
         # A character that is one token by itself parts new words, so that many are coded in one call.
         alone = ((c, self._ids(c)) for c in "`^~|")
         self.mark, self.mark_id = next(((c, ids[0]) for c, ids in alone if len(ids) == 1), (None, -1))
+        # Where letters stay whole and the last token of a word tells so, plain words need no mark between them.
+        model = json.loads(definition)
+        suffix = model["model"].get("end_of_word_suffix") or ""
+        steps = (model.get("pre_tokenizer") or {}).get("pretokenizers") or []
+        split = [(t.get("pattern") or {}).get("Regex") for t in steps if t["type"] == "Split" and t["behavior"] == "Removed" and t["invert"]]
+        self.ends: np.ndarray | None = None
+        if suffix and [t["type"] for t in steps] == ["Split", "ByteLevel"] and split == [LETTERS_WHOLE] and not steps[1]["use_regex"]:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
 
     def _ids(self, text: str) -> list[int]:
         # The fast form keeps no offsets, which nobody asks for here.
@@ -132,8 +150,7 @@ class WordCoder:
             # What was met again goes on being remembered: most of it is frequent.
             self.known = {w: self.known[w] for w in self.again | before if w in self.known}
         known, fresh = self.known, list(new)
-        for i in range(0, len(fresh), 4096):
-            known.update(self._coded(fresh[i : i + 4096]))
+        known.update(self._coded(fresh))
         packed = [b"".join(map(known.__getitem__, ws)) for ws in words]
         for word in fresh:
             if len(word) > CACHE_LENGTH:
@@ -141,6 +158,44 @@ class WordCoder:
         return packed
 
     def _coded(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        if self.ends is None:
+            yield from self._marked(words)
+            return
+        # Letters and the marks behind them are coded apart, so that a word with and without a mark is one piece of work.
+        stems = [word.rstrip(MARKS) for word in words]
+        plain = [stem.isalpha() or PLAIN(stem) is not None for stem in stems]
+        distinct = set(compress(stems, plain))
+        new = distinct.difference(self.known)
+        pieces = dict(self._plain_words(list(new)))
+        pieces.update((stem, self.known[stem]) for stem in distinct - new)
+        tails = {b"": b""}
+        for word, stem in zip(compress(words, plain), compress(stems, plain), strict=True):
+            tail = word[len(stem) :]
+            if tail not in tails:
+                tails.update(self._marked([tail]))
+            yield word, pieces[stem] + tails[tail]
+        if not all(plain):
+            yield from self._marked([word for word, known in zip(words, plain, strict=True) if not known])
+
+    def _plain_words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Codes of words of letters: each ends with the only token of it that has the suffix of word ends."""
+        for i in range(0, len(words), CALL):
+            some = words[i : i + CALL]
+            ids = np.array(self._ids(b" ".join(some).decode()), self.kind)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some):
+                packed, bounds = ids.tobytes(), (np.append(0, ends) * ids.itemsize).tolist()
+                for word, a, b in zip(some, bounds[:-1], bounds[1:], strict=True):
+                    yield word, packed[a:b]
+            else:
+                yield from self._marked(some)
+
+    def _marked(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Codes of any words, told apart by a mark between them."""
+        for i in range(0, len(words), CALL):
+            yield from self._between_marks(words[i : i + CALL])
+
+    def _between_marks(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         mark = (self.mark or "").encode()
         # Without a mark nothing is joint: the empty string is in every word.
         joint = [w for w in words if mark not in w]
