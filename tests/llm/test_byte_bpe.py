@@ -83,3 +83,32 @@ def test_empty_table(frame):
 
 def test_rank_file_lines():
     assert byte_bpe.read_ranks(base64.b64encode(b"ab") + b" 7\n\n") == {b"ab": 7}
+
+
+def test_every_character_has_the_library_s_class(coder, reference):
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for start in range(0, len(every), 4096):
+        own = every[start : start + 4096]
+        text = " ".join(f".{c}'s" for c in own)
+        if coder.encode(text)[0] != reference.encode_ordinary(text):
+            raise AssertionError([c for c in own if coder.encode(f".{c}'s")[0] != reference.encode_ordinary(f".{c}'s")])
+    for form in ("{}'s", "a{}b 1{}2", " {}"):
+        text = " ".join(form.replace("{}", chr(c)) for c in byte_bpe.stand_ins())
+        assert coder.encode(text)[0] == reference.encode_ordinary(text)
+
+
+def test_characters_of_other_unicode_versions(coder, reference):
+    odd = [chr(c) for c in byte_bpe.stand_ins()]
+    source = random.Random(5)
+    parts = [*"ab .,!'s12é  \n", "'re", "word", *source.sample(odd, min(20, len(odd)))]
+    for _ in range(2000):
+        text = "".join(source.choice(parts) for _ in range(source.randint(1, 25)))
+        assert coder.encode(text)[0] == reference.encode_ordinary(text), text
+
+
+def test_other_patterns_may_match_across_blanks(coder):
+    pattern = r"[a-z]+ [a-z]+|\s+|[^\sa-z]+|[a-z]+"
+    library = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=coder.pairs.ranks, special_tokens={})
+    own = byte_bpe.Encoder(coder.pairs.ranks, pattern)
+    for text in ("one two three four", "a b. c d, e 12 f", "no\nbreak here"):
+        assert own.encode(text)[0] == library.encode_ordinary(text)

@@ -16,11 +16,13 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +36,30 @@ BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 #: White space that isn't single or not between characters.
 SPACES = re.compile(r"\A\s|\s\s|\s\Z")
 #: Marks that are a piece of their own behind a word.
-MARKS = ".,;:!?"
+MARKS = frozenset(".,;:!?")
+# Fixed value: the pattern that words between blanks may be coded apart for.
+BY_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+@lru_cache(maxsize=1)
+def stand_ins() -> dict[int, str]:
+    """Characters that the library classes unlike ``regex`` or ``str.isalpha`` do, with a character of the class it gives them.
+
+    Which are letters, digits and white space depends on the Unicode version of whoever splits. The library is asked once
+    in a worker: it codes all characters, one byte a token, by patterns that match a single class.
+    """
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+    single = {bytes([b]): b for b in range(256)}
+    odd = set()
+    classes = {}
+    for kind, instead in ((r"\p{L}", "é"), (r"\p{N}", "²"), (r"\s", " ")):
+        coder = tiktoken.Encoding(kind, pat_str=kind, mergeable_ranks=single, special_tokens={})
+        theirs = set(bytes(coder.encode_ordinary(every)).decode())
+        odd |= theirs ^ set(regex.findall(kind, every))
+        if kind == r"\p{L}":
+            odd |= {c for c in every if c.isalpha()} - theirs
+        classes[instead] = theirs
+    return {ord(c): next((instead for instead, own in classes.items() if c in own), "§") for c in odd}
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -161,10 +186,21 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pairs = BytePairs(ranks)
-        self.split = regex.compile(pattern).findall
+        self.pattern = regex.compile(pattern)
+        self.by_words = pattern == BY_WORDS
+        self.stand_ins = stand_ins()
         self.pieces: dict[str, list[int]] = {}
         self.words: dict[str, tuple[list[int], str]] = {}
 
+    def split(self, text: str) -> list[str]:
+        """The matches of the pattern, with letters, digits and white space as the library has them."""
+        if text.isascii() or self.stand_ins.keys().isdisjoint(map(ord, text)):
+            return self.pattern.findall(text)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.stand_ins))]
+
+    def _letters(self, word: str) -> bool:
+        return word.isalpha() and (word.isascii() or self.stand_ins.keys().isdisjoint(map(ord, word)))
+
     def _piece(self, piece: str) -> list[int]:
         ids = self.pieces.get(piece)
         if ids is None:
@@ -179,9 +215,9 @@ class Encoder:
 
     def _word(self, word: str) -> tuple[list[int], str]:
         """Ids of a word with the blank before it, and as text; remembered if the word is short."""
-        if word.isalpha():
+        if self._letters(word):
             ids = self.pairs.encode(b" " + word.encode())
-        elif word[:-1].isalpha() and word[-1] in MARKS:
+        elif word[-1:] in MARKS and self._letters(word[:-1]):
             stem = self.words.get(word[:-1]) or self._word(word[:-1])
             ids = stem[0] + self._piece(word[-1])
         else:
@@ -197,6 +233,10 @@ class Encoder:
         """Ids of a whole text, and the ids as text joined by blanks."""
         if not text:
             return [], ""
+        if not self.by_words:
+            # Another pattern may match across blanks.
+            ids = list(chain.from_iterable(map(self._piece, self.split(text))))
+            return ids, " ".join(map(str, ids))
         first, *rest = BETWEEN.split(text) if SPACES.search(text) else text.split(" ")
         start = list(chain.from_iterable(map(self._piece, self.split(first))))
         known = self.words.get
