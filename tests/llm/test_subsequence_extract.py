@@ -158,3 +158,39 @@ def test_hints_still_leave_out_what_is_no_wrapper():
     # More remarks than text.
     page = f"<body><div><h1>Title</h1>{BODY}</div><div class=comments>{'<p>great post of the day</p>' * 60}</div></body>"
     assert extract(page, {}) == extract(page, learned()) == "Title\n" + TEXT
+
+
+def test_main_text_that_only_partly_stands_in_an_article():
+    lead, rest = "lead " * 60, "more " * 70
+    for other in ("<div class='content'><p>{}</p></div>", "<div class='content'>{}</div>", "<section><p>{}</p></section>"):
+        page = prose_page(f"<article><h1>Title</h1><p>{lead}</p></article>{other.format(rest)}")
+        for weights in ({}, learned()):
+            assert extract(page, weights) == f"Title\n{lead.strip()}\n{rest.strip()}", other
+
+
+def test_headline_before_several_articles():
+    first, second = "one " * 60, "two " * 55
+    page = prose_page(f"<h1>Title</h1><article><p>{first}</p></article><article><p>{second}</p></article>")
+    for weights in ({}, learned()):
+        assert extract(page, weights) == f"Title\n{first.strip()}\n{second.strip()}"
+
+
+def test_an_article_s_larger_part_is_no_widget():
+    first, second = "one " * 50, "two " * 60
+    page = prose_page(f"<article><p>{first}</p><div class='widget'><p>{second}</p></div></article>")
+    for weights in ({}, learned()):
+        assert extract(page, weights) == f"{first.strip()}\n{second.strip()}"
+    # Remarks are none of the text, however many there are.
+    page = prose_page(f"<article><p>{first}</p><div class='comments'><p>{second}</p></div></article>")
+    for weights in ({}, learned()):
+        assert extract(page, weights) == first.strip()
+
+
+def test_blocks_at_the_ends_are_whole():
+    text = "word " * 60
+    page = prose_page(f"<div><p>{text}</p><p>Source: <a href=x>the full report here</a></p></div>")
+    for weights in ({}, learned()):
+        assert extract(page, weights) == f"{text.strip()}\nSource: the full report here"
+    # Links straight in a container are no part of a block of prose.
+    page = f"<body><a href=x>home</a> <a href=y>news</a><p>{text}</p></body>"
+    assert extract(page, {}) == text.strip()

@@ -80,9 +80,10 @@ WRAPPED = 50
 
 
 def _flagged(name: str, attrs: str, inside: bool) -> str | None:
-    """``never`` for elements that hold no article text, ``hint`` if only a class or id says so.
+    """``never`` for elements that hold no article text; ``remark`` or ``hint`` if only a class or id says so.
 
-    A header inside the article may hold its headline. html, body and main are never flagged.
+    A header inside the article may hold its headline. html, body and main are never flagged, and an article can only be a
+    reader's remark.
     """
     if name in ("html", "body", "main"):
         return None
@@ -90,20 +91,22 @@ def _flagged(name: str, attrs: str, inside: bool) -> str | None:
         return "never"
     if "=" not in attrs:
         return None
-    hint = False
+    hint = remark = False
     for key, a, b, c in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), a or b or c
         if key == "role" and ROLE.match(value) or key == "aria-hidden" and value.lower() == "true":
             return "never"
-        hint = hint or key in ("class", "id") and any(_hinted(t, name) for t in value.lower().split())
+        if key in ("class", "id"):
+            named = value.lower().split()
+            hint = hint or any(_hinted(t, REMARK if name == "article" else HINT) for t in named)
+            remark = remark or any(_hinted(t, REMARK) for t in named)
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs, re.I):
         return "never"
-    return "hint" if hint else None
+    return "remark" if remark else "hint" if hint else None
 
 
-def _hinted(token: str, name: str) -> bool:
-    """Whether a whole class token names something else than article text; an article can only be a reader comment."""
-    hint = REMARK if name == "article" else HINT
+def _hinted(token: str, hint: re.Pattern) -> bool:
+    """Whether a whole class token names something else than article text."""
     parts = [p for p in re.split(r"[-_]+", PAIRS.sub(r"\1\2", token)) if p]
     rest = [p for p in parts if not hint.fullmatch(p)]
     return len(rest) < len(parts) and all(p in NEUTRAL or re.fullmatch(r"\d+(?:x\d+)?", p) for p in rest)
@@ -114,7 +117,8 @@ def tokens(page: str) -> tuple[list[tuple[str, str]], list[tuple[str, int, int]]
 
     kind is ``word:`` and the closest block element (``word:a`` in a link, ``word:box`` straight in a container), with a
     ``+`` for LONG texts, or ``open:``/``close:`` and a tag's name. No kind tells how a page names its containers, so what
-    some pages teach holds on all. Elements are marked as ``never``, ``hint``, ``region`` (article, main) and ``title`` (h1).
+    some pages teach holds on all. Elements are marked as ``never``, ``remark``, ``hint``, ``region`` (article, main) and
+    ``title`` (h1).
     """
     stack: list[tuple[str, bool, list[list]]] = []
     found: list[tuple[str, str]] = []
@@ -211,7 +215,16 @@ class Page:
             headed = np.searchsorted(titles, b) > np.searchsorted(titles, a)
             return 2 * here > total and bool(headed) or here >= WRAPPED and 10 * (total - here) < here
 
-        self.excluded = never | _cover([(a, b) for what, a, b in marks if what == "hint" and not wraps(a, b)], n)
+        regions = [(a, b) for what, a, b in marks if what == "region" and not never[a]]
+
+        def carries(a: int, b: int) -> bool:
+            # A named region does not consist of what its class names leave out: who holds more than half of it is its text.
+            holders = [(c, d) for c, d in regions if c < a and b <= d]
+            return any(2 * int(sums[b] - sums[a]) > int(sums[d] - sums[c]) for c, d in holders)
+
+        hints = [(a, b) for what, a, b in marks if what == "remark" and not wraps(a, b)]
+        hints += [(a, b) for what, a, b in marks if what == "hint" and not wraps(a, b) and not carries(a, b)]
+        self.excluded = never | _cover(hints, n)
         prose[self.excluded] = 0
         sums = np.concatenate([[0], np.cumsum(prose)])
         named = [(a, b) for what, a, b in marks if what == "region" and not self.excluded[a]]
@@ -230,6 +243,19 @@ class Page:
             self.said[:] = -max(strength, 0.0)
             for (a, b), own in zip(outer, held, strict=True):
                 self.said[a:b] = strength if own == most else 0.0 if 4 * own >= most else -abs(strength)
+            # As much is said of long texts between and around regions: where they hold a quarter of what the largest
+            # region does, the weights of their words decide.
+            long = self.is_word & ~self.excluded & np.array([kind.endswith("+") for kind, _ in self.found], bool)
+            held_long = np.concatenate([[0], np.cumsum(np.where(long, self.words, 0))])
+            for a, b in zip([0, *(e for _, e in outer)], [*(s for s, _ in outer), n], strict=True):
+                if most and 4 * int(held_long[b] - held_long[a]) >= most:
+                    places = a + np.flatnonzero(long[a:b])
+                    self.said[int(places[0]) : int(places[-1]) + 1] = 0.0
+            alike = [(a, b) for (a, b), own in zip(outer, held, strict=True) if 4 * own >= most]
+            if len(alike) > 1:
+                # Several texts of a page may share a headline that stands before them.
+                for a, b in ((a, b) for what, a, b in marks if what == "title" and b <= alike[0][0] and not self.excluded[a]):
+                    self.said[a:b] = max(strength, 0.0)
             if len(named) == 1 and strength > 0:
                 self.region = outer[0]
 
@@ -330,6 +356,31 @@ def best_run(scores: np.ndarray) -> tuple[int, int]:
     return start, end + 1
 
 
+def whole_blocks(found: list[tuple[str, str]], start: int, end: int) -> tuple[int, int]:
+    """The run, made longer by what is missing of a paragraph, list item or other block of prose at its ends."""
+
+    def border(i: int) -> bool:
+        what, _, name = found[i][0].partition(":")
+        return what != "word" and name in BLOCKS
+
+    def prose(i: int) -> bool:
+        what, _, name = found[i][0].partition(":")
+        return what == "open" and name not in CONTAINERS
+
+    if start == end:
+        return start, end
+    first, last = start, end - 1
+    while first and not border(first):
+        first -= 1
+    while last and not border(last):
+        last -= 1
+    # The block that the run ends in begins at its last border; only if that opens a block of prose its rest belongs to it.
+    if border(last) and prose(last):
+        while end < len(found) and not border(end):
+            end += 1
+    return (first if border(first) and prose(first) else start), end
+
+
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The main text: white space in a block is one space, blocks are joined by a line feed."""
     if not page:
@@ -347,7 +398,7 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
             scores[i] = min(weights.get("word:out", prior_weight("word:out")), -0.5) * n if word else -0.01
         else:
             scores[i] = (weights.get(kind, prior_weight(kind)) + EVIDENCE * said[i] * word) * n
-    start, end = best_run(scores)
+    start, end = whole_blocks(found, *best_run(scores))
     blocks: list[list[str]] = [[]]
     for (kind, piece), excluded in zip(found[start:end], read.excluded[start:end].tolist(), strict=True):
         what, _, name = kind.partition(":")
