@@ -33,7 +33,9 @@ def number_lines(lines: DataFrame) -> DataFrame:
     in_block = Window.partitionBy("file", "block").orderBy("at")
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     others = [c for c in lines.columns if c not in ("file", "block", "at")]
-    counted = lines.repartition("file", "block").withColumn("at", F.row_number().over(in_block))
+    # Lines without file or block fall out of the join below. Left out here, both sides of it read the same rows: one shuffle.
+    placed = lines.where(F.col("file").isNotNull() & F.col("block").isNotNull()).repartition("file", "block")
+    counted = placed.withColumn("at", F.row_number().over(in_block))
     # The whole last line is taken along: the same columns are shuffled for it as for the lines, once.
     offsets = (
         counted.groupBy("file", "block")

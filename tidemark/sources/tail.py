@@ -1,9 +1,10 @@
 """Growing log files as a stream: every complete line once, also after a rotation by renaming.
 
 The offset of a file is where its last complete line ends. A file is known by its first bytes, which appending never
-changes: under its own name first, else under a new one. The registry, a small JSON file beside the checkpoint, keeps what
-a file was first called, so that its lines keep one name. Only listings and first bytes pass through the driver; tasks read
-the bytes between two offsets, long ranges in pieces.
+changes: under its own name first, else under a new one. The registry, a JSON file beside the checkpoint, keeps what a file
+was first called, so that its lines keep one name, and its first bytes; offsets hold no more than ends and days. Only
+listings and first bytes pass through the driver; tasks read the bytes between two offsets, long ranges in pieces, short
+ones many to a task. Work per file does not depend on how many files there are.
 
 Paths are those that pyarrow's file systems open from every executor: local to all, HDFS, or an object store.
 """
@@ -12,8 +13,12 @@ from __future__ import annotations
 
 import json
 import sys
+from bisect import bisect_right, insort
+from collections import defaultdict
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from fnmatch import fnmatch
+from hashlib import sha256
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -27,6 +32,9 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 HEAD = 1_024
 RANGE = 64 << 20
 STEP = 1 << 20
+# Bytes that could be read while a file is opened, as Spark's openCostInBytes, and files that the driver opens at a time.
+OPENING = 256 << 10
+AT_ONCE = 16
 LINES = "message string, file string, position long, arrived int"
 
 
@@ -54,95 +62,161 @@ def same_files(known: dict[str, Seen], listed: list[Seen]) -> dict[str, Seen]:
             found[name] = new
         else:
             rest.append(new)
+    # Files that none continues yet by their first bytes, shortest first; of equally long ones the first known is the last.
+    lost = defaultdict(list)
+    for order, (name, old) in enumerate(known.items()):
+        if name not in found and old.head:
+            insort(lost[old.head], (old.end, -order, name))
+    lengths = sorted({len(head) for head in lost})
     for new in rest:
-        moved = [n for n, old in known.items() if n not in found and old.head and continues(new, old)]
+        moved = []
+        for length in lengths:
+            same = lost.get(new.head[:length]) if length <= len(new.head) else None
+            if same and (at := bisect_right(same, new.end, key=lambda old: old[0])):
+                moved.append((same[at - 1], same, at - 1))
         if moved:
-            name = max(moved, key=lambda n: known[n].end)
+            (_, _, name), same, at = max(moved, key=lambda m: m[0])
+            del same[at]
         else:
-            taken, number, name = found.keys() | known.keys(), 2, new.path
-            while name in taken:
+            number, name = 2, new.path
+            while name in found or name in known:
                 name, number = f"{new.path}#{number}", number + 1
         found[name] = new
     return found
 
 
-class Range(InputPartition):
-    """Bytes of a file that begin and end with a line; ``first`` and ``last`` tell the piece that a task has of them."""
+class Piece(NamedTuple):
+    """Bytes of a file that a task has: of the lines from ``start`` to ``end`` those that begin in ``first`` to ``last``.
+
+    ``size`` and ``digest`` tell the first bytes of the file.
+    """
+
+    name: str
+    path: str
+    size: int
+    digest: str
+    day: int
+    start: int
+    end: int
+    first: int
+    last: int
 
-    def __init__(self, name: str, seen: Seen, start: int, first: int, last: int):
-        self.name, self.seen, self.start, self.first, self.last = name, tuple(seen), start, first, last
+
+class Pieces(InputPartition):
+    def __init__(self, pieces: list[Piece]):
+        self.pieces = [tuple(piece) for piece in pieces]
 
 
 class TailReader(DataSourceStreamReader):
-    def __init__(self, path: str, pattern: str, registry: str, step: int):
-        self.path, self.pattern, self.registry, self.step = path, pattern, registry, step
+    def __init__(self, path: str, pattern: str, registry: str, step: int, tasks: int):
+        self.path, self.pattern, self.registry, self.step, self.tasks = path, pattern, registry, step, tasks
 
     def _listed(self) -> list[Seen]:
         system, root = fs.FileSystem.from_uri(self.path)
-        found = []
-        for info in system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True)):
-            if info.type == fs.FileType.File and fnmatch(info.base_name, self.pattern):
-                with system.open_input_file(info.path) as file:
-                    end = _last_line(file, info.size)
-                    found.append(Seen(info.path, end, file.read_at(min(end, HEAD), 0).hex() if end else "", int(info.mtime.timestamp() // 86_400)))
-        return found
+
+        def seen(info: fs.FileInfo) -> Seen:
+            with system.open_input_file(info.path) as file:
+                end = _last_line(file, info.size)
+                return Seen(info.path, end, file.read_at(min(end, HEAD), 0).hex() if end else "", int(info.mtime.timestamp() // 86_400))
+
+        there = system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            return list(pool.map(seen, [i for i in there if i.type == fs.FileType.File and fnmatch(i.base_name, self.pattern)]))
+
+    def _known(self) -> dict[str, Seen]:
+        system, place = fs.FileSystem.from_uri(self.registry)
+        if system.get_file_info(place).type != fs.FileType.File:
+            return {}
+        with system.open_input_stream(place) as file:
+            return {name: Seen(*seen) for name, seen in json.loads(file.read()).items()}
 
     def initialOffset(self) -> dict:
         return {}
 
     def latestOffset(self) -> dict:
         system, place = fs.FileSystem.from_uri(self.registry)
-        known = {}
-        if system.get_file_info(place).type == fs.FileType.File:
-            with system.open_input_stream(place) as file:
-                known = {name: Seen(*seen) for name, seen in json.loads(file.read()).items()}
-        now = same_files(known, self._listed())
+        now = same_files(self._known(), self._listed())
         text = json.dumps(now)
         # Complete before it takes the old one's place.
         with system.open_output_stream(f"{place}.new") as file:
             file.write(text.encode())
         system.move(f"{place}.new", place)
-        return {name: json.dumps(seen) for name, seen in now.items()}
+        return {name: f"{seen.end},{seen.day}" for name, seen in now.items()}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        ranges = []
+        # Later listings keep a file's name and first bytes, so the registry serves offsets that are older, too.
+        known, pieces = self._known(), []
         for name, text in end.items():
-            seen = Seen(*json.loads(text))
-            begin = Seen(*json.loads(start[name])).end if name in start else 0
-            ranges += [Range(name, seen, begin, a, min(a + self.step, seen.end)) for a in range(begin, seen.end, self.step)]
-        return ranges
-
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        seen = Seen(*partition.seen)
-        system, _ = fs.FileSystem.from_uri(self.path)
-        with system.open_input_file(self._place(system, seen)) as file:
-            first = partition.first if partition.first == partition.start else _next_line(file, partition.first - 1, seen.end)
-            last = partition.last if partition.last == seen.end else _next_line(file, partition.last - 1, seen.end)
-            data = file.read_at(last - first, first) if last > first else b""
-        lines = data.split(b"\n")[:-1]
-        positions, at = [], first
-        for line in lines:
-            positions.append(at)
-            at += len(line) + 1
-        n = len(lines)
-        columns = [
-            pa.array([line.removesuffix(b"\r").decode("utf-8", "replace") for line in lines], pa.string()),
-            pa.array([partition.name] * n, pa.string()),
-            pa.array(positions, pa.int64()),
-            pa.array([seen.day] * n, pa.int32()),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, ["message", "file", "position", "arrived"])
-
-    def _place(self, system: fs.FileSystem, seen: Seen) -> str:
-        """Where the file is now: it may have been renamed since it was listed."""
-        root = fs.FileSystem.from_uri(self.path)[1]
-        others = system.get_file_info(fs.FileSelector(root, recursive=True))
-        for info in sorted(others, key=lambda i: i.path != seen.path):
-            if info.type == fs.FileType.File and info.size >= seen.end:
-                with system.open_input_file(info.path) as file:
-                    if file.read_at(len(seen.head) // 2, 0).hex() == seen.head:
-                        return info.path
-        raise FileNotFoundError(f"{seen.path} is gone, with lines that were not read")
+            (begin, _), (until, day) = _offset(start.get(name, "0,0")), _offset(text)
+            if begin < until:
+                if name not in known:
+                    raise FileNotFoundError(f"{name} is gone, with lines that were not read")
+                path, _, head, _ = known[name]
+                first = bytes.fromhex(head)
+                about = name, path, len(first), sha256(first).hexdigest(), day, begin, until
+                pieces += [Piece(*about, at, min(at + self.step, until)) for at in range(begin, until, self.step)]
+        # As many pieces to a task as one may read, but work for all tasks that can run at a time.
+        cost = [piece.last - piece.first + OPENING for piece in pieces]
+        most = min(self.step, max(OPENING, sum(cost) // self.tasks))
+        bundles, left = [], 0
+        for piece, bytes_ in zip(pieces, cost):
+            if bytes_ > left:
+                bundles.append([])
+                left = most
+            bundles[-1].append(piece)
+            left -= bytes_
+        return [Pieces(bundle) for bundle in bundles]
+
+    def read(self, partition: Pieces) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(self.path)
+        others = None
+        for piece in (Piece(*piece) for piece in partition.pieces):
+            # The file may have been renamed since it was listed. The folder is listed again for that only, once a task.
+            path = piece.path
+            if not _holds(system, system.get_file_info(path), piece):
+                if others is None:
+                    others = [i for i in system.get_file_info(fs.FileSelector(root, recursive=True)) if i.type == fs.FileType.File]
+                path = next((i.path for i in others if _holds(system, i, piece)), None)
+                if path is None:
+                    raise FileNotFoundError(f"{piece.path} is gone, with lines that were not read")
+            yield _lines(system, path, piece)
+
+
+def _offset(text: str) -> tuple[int, int]:
+    """Where the last complete line ends and the day of the last change; earlier versions wrote all of ``Seen``."""
+    if text.startswith("["):
+        seen = Seen(*json.loads(text))
+        return seen.end, seen.day
+    end, day = text.split(",")
+    return int(end), int(day)
+
+
+def _holds(system: fs.FileSystem, info: fs.FileInfo, piece: Piece) -> bool:
+    """Whether this is the file that the piece is of."""
+    if info.type != fs.FileType.File or info.size < piece.end:
+        return False
+    with system.open_input_file(info.path) as file:
+        return sha256(file.read_at(piece.size, 0)).hexdigest() == piece.digest
+
+
+def _lines(system: fs.FileSystem, path: str, piece: Piece) -> pa.RecordBatch:
+    with system.open_input_file(path) as file:
+        first = piece.first if piece.first == piece.start else _next_line(file, piece.first - 1, piece.end)
+        last = piece.last if piece.last == piece.end else _next_line(file, piece.last - 1, piece.end)
+        data = file.read_at(last - first, first) if last > first else b""
+    lines = data.split(b"\n")[:-1]
+    positions, at = [], first
+    for line in lines:
+        positions.append(at)
+        at += len(line) + 1
+    n = len(lines)
+    columns = [
+        pa.array([line.removesuffix(b"\r").decode("utf-8", "replace") for line in lines], pa.string()),
+        pa.array([piece.name] * n, pa.string()),
+        pa.array(positions, pa.int64()),
+        pa.array([piece.day] * n, pa.int32()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["message", "file", "position", "arrived"])
 
 
 def _last_line(file: pa.NativeFile, size: int) -> int:
@@ -168,7 +242,7 @@ def _next_line(file: pa.NativeFile, at: int, end: int) -> int:
 
 
 class TailSource(DataSource):
-    """``spark.readStream.format("log_tail")``: options path, pattern, registry and bytesPerTask."""
+    """``spark.readStream.format("log_tail")``: options path, pattern, registry, bytesPerTask and tasks, which run at a time."""
 
     @classmethod
     def name(cls) -> str:
@@ -179,7 +253,8 @@ class TailSource(DataSource):
 
     def streamReader(self, schema) -> TailReader:
         given = self.options
-        return TailReader(_uri(given["path"]), given.get("pattern", "*"), _uri(given["registry"]), int(given.get("bytesPerTask", RANGE)))
+        step, tasks = int(given.get("bytesPerTask", RANGE)), int(given.get("tasks", 1))
+        return TailReader(_uri(given["path"]), given.get("pattern", "*"), _uri(given["registry"]), step, tasks)
 
 
 def _uri(path: str) -> str:
@@ -198,7 +273,8 @@ def tail_log_lines(
     # The source goes to the workers as it is here, wherever they import the package from.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(TailSource)
-    lines = spark.readStream.format("log_tail").options(path=path, pattern=pattern, registry=registry, bytesPerTask=bytes_per_task).load()
+    options = {"bytesPerTask": bytes_per_task, "tasks": spark.sparkContext.defaultParallelism}
+    lines = spark.readStream.format("log_tail").options(path=path, pattern=pattern, registry=registry, **options).load()
     return lines.select(
         "message",
         F.lit(service).alias("service"),
