@@ -1,10 +1,13 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidemark.entrypoints.logs import _streamed
 from tidemark.operators.news import to_messages
 from tidemark.plans.news import publish, relevant_messages
 from tidemark.schemas import NEWS
+from tidemark.session import LISTING_TASKS
 from tidemark.sources import topics
 from tidemark.sources.landing import normalise_feed
 from tidemark.streaming import logs, news
@@ -159,3 +162,29 @@ def test_messages_are_published_once_whatever_fails(spark, tmp_path, rows, monke
     monkeypatch.setattr(news, "enter", real)
     write(article(spark, "c"), 1)
     assert sorted(r["value"].count("Gatorade") for r in news.published(spark, path).collect()) == [1, 1, 1]
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path, monkeypatch):
+    for i in range(60):
+        (tmp_path / f"task={i}").mkdir()
+        (tmp_path / f"task={i}" / "part-0.txt").write_text("x\n")
+    context, given = spark.sparkContext, spark.conf.get(LISTING_TASKS)
+    most = []
+
+    def listed(session, source, closed):
+        context.setJobGroup("listing", "listing")
+        stream_log_lines(session, str(tmp_path), closed)
+        tracker = context.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+        most.append(max(tracker.getStageInfo(s).numTasks for s in stages))
+        raise RuntimeError("seen")
+
+    stream_log_lines = logs.stream_log_lines
+    monkeypatch.setattr(logs, "stream_log_lines", listed)
+    try:
+        with pytest.raises(RuntimeError, match="seen"):
+            _streamed(spark, str(tmp_path), join_lines=True)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert most == [4 * context.defaultParallelism]
+    assert spark.conf.get(LISTING_TASKS) == given

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.entrypoints import bindings as b
 from tidemark.operators import logs as ops
 from tidemark.plans import logs as plans
+from tidemark.session import shared_listing
 from tidemark.sources.loglines import number_lines, read_log_lines
 from tidemark.sources.tail import tail_log_lines
 from tidemark.streaming import logs as streams
@@ -96,9 +97,10 @@ def log_tail_events(spark, sf):
 
 def _streamed(spark, source, **options):
     path, checkpoint = fresh_dir(spark, "records"), fresh_dir(spark, "offsets")
-    for _ in range(2):
-        lines = streams.stream_log_lines(spark, source, "part-*.txt")
-        streams.logs_to_table(lines, path, checkpoint, b.RUN_DATE, **options).awaitTermination()
+    with shared_listing(spark):
+        for _ in range(2):
+            lines = streams.stream_log_lines(spark, source, "part-*.txt")
+            streams.logs_to_table(lines, path, checkpoint, b.RUN_DATE, **options).awaitTermination()
     return _epoch(spark.read.parquet(path)).select("message", "service", "log_type", *FIELDS)
 
 

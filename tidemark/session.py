@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -36,3 +39,20 @@ def build_session(
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
+
+
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def shared_listing(spark: SparkSession, per_core: int = 4) -> Iterator[None]:
+    """Folders and files are listed by a few tasks per core, many paths to each, until the block ends.
+
+    By itself Spark starts a task for every path, up to 10,000, and a file stream lists all its paths three times a run.
+    """
+    given = spark.conf.get(LISTING_TASKS)
+    spark.conf.set(LISTING_TASKS, str(min(int(given), per_core * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING_TASKS, given)

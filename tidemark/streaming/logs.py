@@ -22,7 +22,8 @@ def stream_log_lines(
     """Lines of newly arriving closed log files with their tags.
 
     A file is read once, so lines appended later would be lost. ``closed`` is the pattern of names that only finished
-    files have (rotated, or moved in when complete); files that are still written to are not looked at.
+    files have (rotated, or moved in when complete); files that are still written to are not looked at. Many files or folders
+    are listed quicker inside ``shared_listing``, which holds while the stream runs.
     """
     return spark.readStream.format("text").option("pathGlobFilter", closed).options(**options).load(path).select(
         F.col("value").alias("message"),
